@@ -142,8 +142,8 @@ def common_shingles(docs: DataFrame, k: int, rows: int, sample: int, least: int)
     return Common(got["key"].to_numpy(np.int64).view(np.uint64), got["n"].to_numpy(np.int64))
 
 
-def postings(docs: DataFrame, common, k: int, percent: int, buckets: int) -> DataFrame:
-    """Packed prefixes by bucket of shingle: shingle, document of the row (its node and size), position."""
+def postings(docs: DataFrame, common, k: int, percent: int, buckets: int, flush: int = 1_500_000) -> DataFrame:
+    """Packed prefixes by bucket of shingle: shingle, document of the row (its node, size and first shingle), position."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, order, seen = WordHashes(), common.value, set()
@@ -164,7 +164,7 @@ def postings(docs: DataFrame, common, k: int, percent: int, buckets: int) -> Dat
                 nodes.append(me)
                 sizes.append(len(s))
                 total += len(p)
-                if total > 1_500_000 or len(nodes) >= 60_000:
+                if total > flush or len(nodes) >= 60_000:
                     yield packed(held, nodes, sizes)
                     held, nodes, sizes, total = [], [], [], 0
         if held:
@@ -178,29 +178,33 @@ def postings(docs: DataFrame, common, k: int, percent: int, buckets: int) -> Dat
         bucket = ((sh * _MIX) >> np.uint64(33)).astype(np.int64) % buckets
         by = np.lexsort((sh, bucket))
         cuts = np.searchsorted(bucket[by], np.arange(buckets + 1))
-        node_a, size_a = np.array(nodes, np.int64), np.array(sizes, np.uint32)
-        cols: list[list] = [[] for _ in range(6)]
+        node_a, size_a, first_a = np.array(nodes, np.int64), np.array(sizes, np.uint32), np.array([p[0] for p in held], np.uint64)
+        cols: list[list] = [[] for _ in range(7)]
         for i in range(buckets):
             own = by[cuts[i] : cuts[i + 1]]
             if len(own):
                 which, inv = np.unique(doc[own], return_inverse=True)
-                for c, v in zip(cols, (i, sh[own].tobytes(), inv.astype(np.uint16).tobytes(), at[own].astype(np.uint16).tobytes(), node_a[which].tobytes(), size_a[which].tobytes())):
+                for c, v in zip(cols, (i, sh[own].tobytes(), inv.astype(np.uint16).tobytes(), at[own].astype(np.uint16).tobytes(), node_a[which].tobytes(), size_a[which].tobytes(), first_a[which].tobytes())):
                     c.append(v)
-        return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[1:])], ["bucket", "sh", "doc", "at", "nodes", "sizes"])
+        return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int32()), *(pa.array(c, pa.binary()) for c in cols[1:])], ["bucket", *PACKED])
 
-    return docs.select("text").mapInArrow(run, "bucket int, sh binary, doc binary, at binary, nodes binary, sizes binary")
+    return docs.select("text").mapInArrow(run, "bucket int, " + ", ".join(f"{c} binary" for c in PACKED))
+
+
+PACKED = ["sh", "doc", "at", "nodes", "sizes", "firsts"]
 
 
 def read_lists(table: pa.Table) -> tuple[np.ndarray, ...]:
-    """Shingle, node, size, position of a bucket, by shingle, then size; each node once in a list."""
-    sh, node, size, at = [], [], [], []
-    for s, d, a, n, z in zip(*(table.column(c).to_pylist() for c in ("sh", "doc", "at", "nodes", "sizes"))):
+    """Shingle, node, size, position, first shingle of a bucket's entries, by shingle, then size; each node once in a list."""
+    sh, node, size, at, first = [], [], [], [], []
+    for s, d, a, n, z, f in zip(*(table.column(c).to_pylist() for c in PACKED)):
         doc = np.frombuffer(d, np.uint16)
         sh.append(np.frombuffer(s, np.uint64))
         node.append(np.frombuffer(n, np.int64)[doc])
         size.append(np.frombuffer(z, np.uint32)[doc].astype(np.int64))
         at.append(np.frombuffer(a, np.uint16).astype(np.int64))
-    sh, node, size, at = (np.concatenate(x) for x in (sh, node, size, at))
+        first.append(np.frombuffer(f, np.uint64)[doc])
+    sh, node, size, at, first = (np.concatenate(x) for x in (sh, node, size, at, first))
     order = np.argsort(sh, kind="stable")
     sh = sh[order]
     twice = np.concatenate([[False], sh[1:] == sh[:-1]])
@@ -208,14 +212,15 @@ def read_lists(table: pa.Table) -> tuple[np.ndarray, ...]:
     order, sh = order[some], sh[some]
     by = np.lexsort((node[order], size[order], sh))
     order, sh = order[by], sh[by]
-    node, size, at = node[order], size[order], at[order]
+    node, size, at, first = node[order], size[order], at[order], first[order]
     new = np.concatenate([[True], (sh[1:] != sh[:-1]) | (node[1:] != node[:-1])]) if len(sh) else np.zeros(0, bool)
-    return sh[new], node[new], size[new], at[new]
+    return sh[new], node[new], size[new], at[new], first[new]
 
 
-def pairs_of_lists(sh: np.ndarray, node: np.ndarray, size: np.ndarray, at: np.ndarray, percent: int, all_pairs: int, label: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def pairs_of_lists(sh: np.ndarray, node: np.ndarray, size: np.ndarray, at: np.ndarray, percent: int, all_pairs: int, first: np.ndarray | None = None, label: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Candidate pairs (smaller set, larger set), each once, and which entries stand in lists longer than ``all_pairs``.
-    With labels, pairs of equal labels are left out."""
+    With labels, pairs of equal labels are left out. With first shingles, a pair whose sets start with the same shingle is
+    left to the list of that shingle, which is certain to hold both."""
     if not len(sh):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
     starts = np.flatnonzero(np.concatenate([[True], sh[1:] != sh[:-1]]))
@@ -241,6 +246,8 @@ def pairs_of_lists(sh: np.ndarray, node: np.ndarray, size: np.ndarray, at: np.nd
         ok = np.minimum(size[active] - at[active], size[j] - at[j]) >= need
         if label is not None:
             ok &= label[active] != label[j]
+        if first is not None:
+            ok &= (first[active] != first[j]) | (first[active] == sh[active])
         left.append(node[active[ok]])
         right.append(node[j[ok]])
         waiting += int(ok.sum())
@@ -252,29 +259,51 @@ def pairs_of_lists(sh: np.ndarray, node: np.ndarray, size: np.ndarray, at: np.nd
         i = np.flatnonzero(long)
         prev = i[np.concatenate([[False], sh[i][1:] == sh[i][:-1]])]
         prev = prev[size[prev - 1] * 100 >= percent * size[prev]]
+        if first is not None:
+            prev = prev[(first[prev] != first[prev - 1]) | (first[prev] == sh[prev])]
         left.append(node[prev - 1])
         right.append(node[prev])
         for s in starts[n > all_pairs]:
             e = end[s]
-            first = s + np.searchsorted(size[s:e] * 100, percent * size[s:e])  # the first entry of each entry's block
+            head = s + np.searchsorted(size[s:e] * 100, percent * size[s:e])  # the first entry of each entry's block
             me = np.arange(s, e)
-            left.append(node[first[first < me]])
-            right.append(node[me[first < me]])
+            take = head < me
+            if first is not None:
+                take &= (first[head] != first[me]) | (first[me] == sh[me])
+            left.append(node[head[take]])
+            right.append(node[me[take]])
     left, right = left or [np.zeros(0, np.int64)], right or [np.zeros(0, np.int64)]
     fold_up() if sum(map(len, left)) else None
     return np.concatenate(left), np.concatenate(right), long
 
 
+def merged_lists(sh: np.ndarray, node: np.ndarray, size: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Lists with the same first entry as one, named by a shingle of theirs. An entry keeps its smallest position, so the
+    position test only gets weaker: a merged list has all pairs of its lists. The lists of a group of similar sets mostly
+    start alike, so the group is entered once or twice a bucket instead of once a shingle."""
+    if not len(sh):
+        return sh.view(np.int64), node, size, at
+    starts = np.flatnonzero(np.concatenate([[True], sh[1:] != sh[:-1]]))
+    n = np.diff(np.append(starts, len(sh)))
+    _, first, which = np.unique(node[starts], return_index=True, return_inverse=True)
+    name = np.repeat(sh[starts][first][which], n)
+    by = np.lexsort((at, node, name))
+    name, node, size, at = name[by], node[by], size[by], at[by]
+    new = np.concatenate([[True], (name[1:] != name[:-1]) | (node[1:] != node[:-1])])
+    return name[new].view(np.int64), node[new], size[new], at[new]
+
+
 def candidates(post: DataFrame, percent: int, all_pairs: int) -> DataFrame:
-    """kind 0: x, y are the nodes of a candidate pair. kind 1: an entry of a long list; x is the shingle, y the node."""
+    """kind 0: x, y are the nodes of a candidate pair. kind 1: an entry of a long list; x names the list, y is the node."""
 
     def run(table: pa.Table) -> pa.Table:
-        sh, node, size, at = read_lists(table)
-        a, b, long = pairs_of_lists(sh, node, size, at, percent, all_pairs)
+        sh, node, size, at, first = read_lists(table)
+        a, b, long = pairs_of_lists(sh, node, size, at, percent, all_pairs, first)
+        name, node, size, at = merged_lists(sh[long], node[long], size[long], at[long])
         zero = np.zeros(len(a), np.int64)
         return pa.table({
-            "kind": pa.array(np.concatenate([zero, np.ones(int(long.sum()), np.int64)]).astype(np.int32)), "x": pa.array(np.concatenate([a, sh[long].view(np.int64)])), "y": pa.array(np.concatenate([b, node[long]])),
-            "size": pa.array(np.concatenate([zero, size[long]]).astype(np.int32)), "at": pa.array(np.concatenate([zero, at[long]]).astype(np.int32)),
+            "kind": pa.array(np.concatenate([zero, np.ones(len(name), np.int64)]).astype(np.int32)), "x": pa.array(np.concatenate([a, name])), "y": pa.array(np.concatenate([b, node])),
+            "size": pa.array(np.concatenate([zero, size]).astype(np.int32)), "at": pa.array(np.concatenate([zero, at]).astype(np.int32)),
         })
 
     return post.groupBy("bucket").applyInArrow(run, "kind int, x long, y long, size int, at int")
@@ -390,7 +419,7 @@ def join(docs: DataFrame, *, k: int = 5, percent: int = 75, sample: int = 20_000
     def enter_again(t: pa.Table) -> pa.Table:
         node, size, at, label = (t.column(c).to_numpy().astype(np.int64) for c in ("b", "size", "at", "label_b"))
         by = np.lexsort((node, size))
-        a, b, _ = pairs_of_lists(np.zeros(len(by), np.uint64), node[by], size[by], at[by], percent, len(by), label[by])
+        a, b, _ = pairs_of_lists(np.zeros(len(by), np.uint64), node[by], size[by], at[by], percent, len(by), label=label[by])
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     again = runs.join(mixed_runs, "sh", "left_semi").groupBy("sh").applyInArrow(enter_again, "a long, b long").distinct()
