@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,6 +50,22 @@ def texts(column: pa.Array) -> list[str]:
     return [t or "" for t in column.to_pylist()]
 
 
+def slices(batch: pa.RecordBatch, rows: int = 1000):
+    """A record batch in parts, so that only some of its texts are Python strings at a time."""
+    for lo in range(0, batch.num_rows, rows):
+        yield batch.slice(lo, rows)
+
+
+def blobs(column: pa.Array) -> list[memoryview]:
+    """The values of a binary column without copies; null as empty."""
+    if not len(column):
+        return []
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1].tolist()
+    view = memoryview(data) if data is not None else memoryview(b"")
+    return [view[a:b] for a, b in zip(at, at[1:])]
+
+
 def words_of(text: str) -> list[bytes]:
     """Lower-cased (A-Z) words, cut at U+0020 and U+0009 to U+000D only: what ``bytes.split`` cuts at."""
     return text.encode("utf-8", "replace").translate(LOWER).split()

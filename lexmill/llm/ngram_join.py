@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm._common import materialise, texts, words_of
+from lexmill.llm._common import blobs, materialise, slices, texts, words_of
 from lexmill.llm.components import components
 
 _ODD = np.array([(i * 2 + 3) * 0x9E3779B97F4A7C15 % (1 << 64) | 1 for i in range(64)], np.uint64)
@@ -43,7 +43,7 @@ class WordHashes(dict):
     """word -> 64-bit hash; a cache that is emptied when it grows large."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 400_000:
+        if len(self) > 200_000:
             self.clear()
         self[word] = h = xxhash.xxh3_64_intdigest(word)
         return h
@@ -123,12 +123,12 @@ def common_shingles(docs: DataFrame, k: int, rows: int, sample: int, least: int)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, seen, held = WordHashes(), set(), []
         for b in batches:
-            for t in texts(b.column("text")):
+            for t in (t for c in slices(b) for t in texts(c.column("text"))):
                 s = shingles(t, k, known)
                 if len(s) and (me := node_of(s)) not in seen:
                     seen.add(me)
                     held.append(s)
-            if sum(map(len, held)) > 1_000_000:
+            if sum(map(len, held)) > 500_000:
                 yield counted(held)
                 held = []
         if held:
@@ -142,7 +142,7 @@ def common_shingles(docs: DataFrame, k: int, rows: int, sample: int, least: int)
     return Common(got["key"].to_numpy(np.int64).view(np.uint64), got["n"].to_numpy(np.int64))
 
 
-def postings(docs: DataFrame, common, k: int, percent: int, buckets: int, flush: int = 1_500_000) -> DataFrame:
+def postings(docs: DataFrame, common, k: int, percent: int, buckets: int, flush: int = 700_000) -> DataFrame:
     """Packed prefixes by bucket of shingle: shingle, document of the row (its node, size and first shingle), position."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,7 +152,7 @@ def postings(docs: DataFrame, common, k: int, percent: int, buckets: int, flush:
         sizes: list[int] = []
         total = 0
         for b in batches:
-            for t in texts(b.column("text")):
+            for t in (t for c in slices(b) for t in texts(c.column("text"))):
                 s = shingles(t, k, known)
                 if not len(s) or (me := node_of(s)) in seen:
                     continue
@@ -316,8 +316,7 @@ def nodes(docs: DataFrame, k: int, wanted, bits: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, filt, seen = WordHashes(), wanted.value, set()
         for b in batches:
-            for lo in range(0, b.num_rows, 2000):
-                c = b.slice(lo, 2000)
+            for c in slices(b):
                 out: list[list] = [[], [], [], []]
                 for t in texts(c.column("text")):
                     s = shingles(t, k, known)
@@ -372,7 +371,7 @@ def overlaps(pairs: DataFrame, table: DataFrame, small: int = 300_000) -> DataFr
         for r in batches:
             out = []
             last: tuple = (None, None)
-            for a, x, y in zip(r.column("a").to_pylist(), r.column("items_a").to_pylist(), r.column("items_b").to_pylist()):
+            for a, x, y in zip(r.column("a").to_pylist(), blobs(r.column("items_a")), blobs(r.column("items_b"))):
                 u = last[1] if last[0] == a else unpacked(x)
                 last, v = (a, u), unpacked(y)
                 out.append((len(u), len(v), len(u) + len(v) - len(np.unique(np.concatenate([u, v])))))
@@ -383,7 +382,7 @@ def overlaps(pairs: DataFrame, table: DataFrame, small: int = 300_000) -> DataFr
     return both.mapInArrow(run, "a long, b long, size_a long, size_b long, both long").dropDuplicates(["a", "b"])
 
 
-def unpacked(raw: bytes) -> np.ndarray:
+def unpacked(raw) -> np.ndarray:
     out = np.zeros((len(raw) // 6, 8), np.uint8)
     out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
     return out.view(np.uint64).ravel()
