@@ -335,7 +335,7 @@ def nodes(docs: DataFrame, k: int, wanted, bits: int) -> DataFrame:
 def wanted_filter(cands: DataFrame) -> tuple[np.ndarray, int]:
     """A bit filter of all nodes in pairs or long lists; at most 2**26 bits (8 MB) whatever the input. False hits only
     carry a set along in vain."""
-    ids = cands.select(F.explode(F.when(F.col("kind") == 0, F.array("x", "y")).otherwise(F.array("y"))).alias("node"))
+    ids = cands.where("kind = 0").select(F.col("x").alias("node")).unionByName(cands.select(F.col("y").alias("node")))
     n = ids.agg(F.approx_count_distinct("node").alias("n")).first()["n"]
     bits = min(26, max(16, int(16 * n).bit_length()))
     cell = F.col("node").bitwiseAND(F.lit((1 << bits) - 1))
@@ -361,10 +361,10 @@ def bounded_pairs(pairs: DataFrame, table: DataFrame, percent: int) -> DataFrame
 
 def overlaps(pairs: DataFrame, table: DataFrame, small: int = 300_000) -> DataFrame:
     """(a, b, size_a, size_b, both) with the exact intersections; each set is sent once for a and once for each pair."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    ids = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     sets = table.where(F.col("items").isNotNull()).select("node", "items")
     few = ids.count() <= small  # 8 bytes each
-    sets = sets.join(F.broadcast(ids) if few else ids, "node", "left_semi")
+    sets = sets.join(F.broadcast(ids) if few else ids, "node", "left_semi").dropDuplicates(["node"])  # several tasks may have met a set first
     both = pairs.join(sets.toDF("a", "items_a"), "a").join(sets.toDF("b", "items_b"), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -378,8 +378,7 @@ def overlaps(pairs: DataFrame, table: DataFrame, small: int = 300_000) -> DataFr
             s = np.array(out, np.int64).reshape(-1, 3)
             yield pa.RecordBatch.from_arrays([r.column("a"), r.column("b"), *(pa.array(s[:, i]) for i in range(3))], ["a", "b", "size_a", "size_b", "both"])
 
-    # a set that several tasks met first comes several times
-    return both.mapInArrow(run, "a long, b long, size_a long, size_b long, both long").dropDuplicates(["a", "b"])
+    return both.mapInArrow(run, "a long, b long, size_a long, size_b long, both long")
 
 
 def unpacked(raw) -> np.ndarray:
