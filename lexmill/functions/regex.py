@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -49,3 +50,9 @@ def tokens(c: Column) -> Column:
     from lexmill.functions.chars import STRIPPED
 
     return F.filter(F.split(c, f"[{STRIPPED}]+"), lambda w: w != "")
+
+
+def let(c: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``c`` with ``c`` evaluated once: inside a lambda an outer expression would be evaluated for every
+    element."""
+    return F.get(F.transform(F.array(c), body), F.lit(0))

@@ -10,6 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lexmill.functions import patterns
+from lexmill.functions.regex import let
 from lexmill.operators.lines import Line, keep, rule
 
 _ENGLISH = [re.compile(p, re.I | re.A) for p in patterns.ENGLISH_AMOUNTS]
@@ -122,15 +123,14 @@ def remove_without_entity(entity_tag: str = "") -> Line:
 def fix_labels() -> Line:
     """For pairs en, zh: rows with a doubled figure mark go; a dangling (Fig. is cut with its counterpart."""
 
-    def run(c: Column) -> Column:
-        f = F.split(c, "\t", -1)
+    def run(f: Column) -> Column:
         en, zh = F.get(f, 0), F.get(f, 1)
         cut = F.endswith(en, F.lit("(Fig."))
         zh2 = F.when(zh.rlike(r"（图[0-9]）。\z"), F.regexp_replace(zh, r"（图[0-9]）。\z", "")).otherwise(F.regexp_replace(zh, r"（图。\z", ""))
         out = F.concat_ws("\t", F.when(cut, F.left(en, F.length(en) - 5)).otherwise(en), F.when(cut, zh2).otherwise(zh))
         return F.when((F.size(f) == 2) & ~F.contains(zh, F.lit("（图（图")) & ~F.contains(zh, F.lit("[图[图")), out)
 
-    return run
+    return lambda c: let(F.split(c, "\t", -1), run)
 
 
 @rule("common", "Levenshtein_Distance")
@@ -151,8 +151,7 @@ def _of_pair(of) -> Line:
     """Rows of other than two fields become null."""
 
     def run(c: Column) -> Column:
-        f = F.split(c, "\t", -1)
-        return F.when(F.size(f) == 2, of(F.get(f, 0), F.get(f, 1)))
+        return let(F.split(c, "\t", -1), lambda f: F.when(F.size(f) == 2, of(F.get(f, 0), F.get(f, 1))))
 
     return run
 

@@ -69,7 +69,7 @@ def search(sentences: DataFrame, query: str, n: int = 10, operator: str = "OR",
     joined = own.crossJoin(F.broadcast(stats))  # one row of statistics
     score, hits = F.lit(0.0), F.lit(0)
     for i, t in enumerate(terms):
-        tf = F.size(F.filter("_w", lambda w, t=t: w == t))
+        tf = F.size("_w") - F.size(F.array_remove("_w", t))
         idf = F.ln(1 + (F.col("_n") - F.col(f"_df{i}") + 0.5) / (F.col(f"_df{i}") + 0.5))
         score = score + idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.size("_w") / F.col("_avg")))
         hits = hits + (tf > 0).cast("int")

@@ -14,14 +14,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lexmill.functions import chars, patterns
-from lexmill.functions.regex import contains, duck_replace, java, replace, strip, tokens
+from lexmill.functions.regex import contains, duck_replace, java, let, replace, strip, tokens
 
 Line = Callable[[Column], Column]
 REGISTRY: dict[tuple[str, str], Callable[..., Line]] = {}
 
 
 def empty_to_null(c: Column) -> Column:
-    return F.when(F.length(c) > 0, c)
+    """One reference to ``c``: an expression that names its input twice doubles with every operator of a chain."""
+    return F.get(F.filter(F.array(c), lambda x: x != ""), F.lit(0))
 
 
 def rule(language: str, name: str):
@@ -30,7 +31,12 @@ def rule(language: str, name: str):
     def add(factory: Callable[..., Line]) -> Callable[..., Line]:
         def build(**params) -> Line:
             own = factory(**params)
-            return lambda c: empty_to_null(own(empty_to_null(c)))
+
+            def guarded(c: Column) -> Column:
+                return empty_to_null(own(c))
+
+            guarded.raw = own
+            return guarded
 
         build.__doc__ = factory.__doc__
         REGISTRY[language, name] = build
@@ -48,7 +54,14 @@ def get(language: str, name: str, **params) -> Line:
 
 
 def chain(operators: Iterable[Line]) -> Line:
-    return lambda c: reduce(lambda x, f: f(x), operators, c)
+    """One expression. An empty line stays empty or null in every operator, so the chain looks for one at its end only."""
+    own = [getattr(f, "raw", f) for f in operators]
+
+    def guarded(c: Column) -> Column:
+        return empty_to_null(reduce(lambda x, f: f(x), own, c))
+
+    guarded.raw = lambda c: reduce(lambda x, f: f(x), own, c)
+    return guarded
 
 
 def substitutions(steps: list[tuple[str, str]], ignore_case: bool = True) -> Line:
@@ -56,7 +69,7 @@ def substitutions(steps: list[tuple[str, str]], ignore_case: bool = True) -> Lin
 
 
 def keep(test: Callable[[Column], Column]) -> Line:
-    return lambda c: F.when(test(c), c)
+    return lambda c: F.get(F.filter(F.array(c), test), F.lit(0))
 
 
 # --- substitution lists -------------------------------------------------------------------------------------------
@@ -93,7 +106,7 @@ def remove_line_separator() -> Line:
 @rule("en", "Capitalize")
 def capitalize() -> Line:
     """Only the first character."""
-    return lambda c: F.concat(F.upper(F.substring(c, 1, 1)), F.substr(c, F.lit(2)))
+    return lambda c: let(c, lambda x: F.concat(F.upper(F.substring(x, 1, 1)), F.substr(x, F.lit(2))))
 
 
 @rule("zh", "Replace_English_Punctuation")
@@ -171,8 +184,8 @@ def allowed_characters_only() -> Line:
 
 def is_allowed(c: Column) -> Column:
     """Only white space and the allowed classes, and no U+2028, once the line is stripped."""
-    s = strip(c)
-    return ~F.contains(s, F.lit("\u2028")) & ~s.rlike(f"[^{chars.ALLOWED.replace('[', chr(92) + '[')}]")
+    bad = f"[^{chars.ALLOWED.replace('[', chr(92) + '[')}]|\u2028"
+    return ~strip(c).rlike(bad)
 
 
 @rule("common", "Pair_Punctuation_Close_Check")
@@ -194,20 +207,18 @@ def pairs_closed(newpairs: Iterable[str] = ()) -> Line:
 
 @rule("common", "Remove_Single_Quotation_v2")
 def remove_quotes() -> Line:
-    """Keeps ' after s and between ASCII letters (a tag may stand on the left); drops all others and ‘ ’ `."""
-    return lambda c: F.translate(F.regexp_replace(F.regexp_replace(strip(c), "^'+", ""), "(?<![sS])(?:(?<![A-Za-z>])'+|'(?![A-Za-z])'*)", ""), "‘’`", "")
+    """One ' of a run stays after s, or after another ASCII letter or a tag when a letter follows; all others go, and
+    so do ‘ ’ `."""
+    steps = [(r"([sS])'+", "$1\ue000"), (r"([A-Za-z>])'+(?=[A-Za-z])", "$1\ue000"), ("'", ""), ("\ue000", "'"), ("[‘’`]", "")]
+    return lambda c: reduce(lambda x, s: F.regexp_replace(x, s[0], s[1]), steps, strip(c))
 
 
 @rule("zh", "Remove_Bullet_v2")
 def remove_chinese_bullets() -> Line:
     """A leading number with decimals is no bullet."""
 
-    def run(c: Column) -> Column:
-        s = strip(c)
-        s = F.when(contains(s, r"^\d+\.\d"), s).otherwise(replace(s, patterns.CHINESE_BULLETS, ""))
-        return replace(s, patterns.CHINESE_SYMBOL_BULLETS, "", False)
-
-    return run
+    text = lambda s: F.when(contains(s, r"^\d+\.\d"), s).otherwise(replace(s, patterns.CHINESE_BULLETS, ""))
+    return lambda c: replace(let(strip(c), text), patterns.CHINESE_SYMBOL_BULLETS, "", False)
 
 
 @rule("zh", "Remove_Chinese_Number_Unit_After_Number_Entity")
@@ -223,7 +234,7 @@ def split_compound(connector_tag: str = "-") -> Line:
         pieces = F.flatten(F.transform(F.split(w, "-"), lambda p, i: F.filter(F.array(F.when(i > 0, F.lit(connector_tag)), F.when(p != "", p)), lambda x: x.isNotNull())))
         return F.when((F.length(w) > 1) & F.contains(w, F.lit("-")), pieces).otherwise(F.array(w))
 
-    return lambda c: F.when(F.contains(c, F.lit("-")), F.array_join(F.flatten(F.transform(tokens(c), parts)), " ")).otherwise(c)
+    return lambda c: let(c, lambda x: F.when(F.contains(x, F.lit("-")), F.array_join(F.flatten(F.transform(tokens(x), parts)), " ")).otherwise(x))
 
 
 @rule("en", "Restore_Compound_Word")
@@ -276,8 +287,7 @@ def break_unknown(voc: Iterable[str], entity_safe: bool = False) -> Line:
 
 
 def broken(w: Column) -> Column:
-    letters = F.filter(F.split(w, ""), lambda x: x != "")
-    return F.array_join(F.transform(letters, lambda x, i: F.concat(F.when(i == 0, F.lit("<B>")).when(i == F.size(letters) - 1, F.lit("<E>")).otherwise(F.lit("<M>")), x)), " ")
+    return F.array_join(F.transform(F.split(w, ""), lambda x, i: F.concat(F.when(i == 0, F.lit("<B>")).when(i == F.length(w) - 1, F.lit("<E>")).otherwise(F.lit("<M>")), x)), " ")
 
 
 @rule("zh", "Replace_Words_Per_Dict")

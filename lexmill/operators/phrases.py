@@ -13,6 +13,7 @@ from pyspark.sql.window import Window
 
 from lexmill.functions import chars
 from lexmill.functions.regex import tokens
+from lexmill.operators.scoring import ngrams
 
 # Thresholds, word and punctuation lists of the filter rules.
 THRESHOLDS = {"multi_src_th": 0.5, "multi_trg_th": 0.5, "ptr_sum_th": 1.2, "ptr_src_th": 0.5, "ptr_trg_th": 0.5, "ratio_bound": 2.5}
@@ -139,7 +140,7 @@ def packed(table: DataFrame, max_gram: int = 4, min_prob: float = 0.0) -> DataFr
     done = sets.where("n = 1").select("lw", "n", F.array_sort("r").alias("words"))
     for n in range(2, max_gram + 1):
         own = sets.where(F.col("n") == n)
-        parts = F.array_distinct(F.flatten(F.array(*(F.transform(F.sequence(F.lit(1), F.lit(n - k + 1)), lambda i, k=k: F.array_join(F.slice("l", i, F.lit(k)), " ")) for k in range(1, n)))))
+        parts = F.array_distinct(F.flatten(F.array(*(ngrams(F.col("l"), k) for k in range(1, n)))))
         sub = own.select("lw", F.explode(parts).alias("part")).join(done.select(F.col("lw").alias("part"), "words"), "part").groupBy("lw").agg(F.array_distinct(F.flatten(F.collect_set("words"))).alias("covered"))
         left = own.join(sub, "lw", "left").select("lw", "n", F.array_sort(F.array_except("r", F.coalesce("covered", F.array().cast("array<string>")))).alias("words"))
         done = done.unionByName(left.where(F.size("words") > 0))

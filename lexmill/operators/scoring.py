@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.functions.regex import tokens
+from lexmill.functions.regex import let, tokens
 
 #: The logarithm of zero.
 LOG_ZERO = -9999999999.0
@@ -20,7 +20,10 @@ def ngrams(words: Column, n: int) -> Column:
 
 
 def _grams(df: DataFrame, key: str, value: str, orders: Sequence[int], split) -> DataFrame:
-    each = [F.transform(split(F.col(value), n), lambda g, n=n: F.struct(F.lit(n).alias("n"), g.alias("gram"))) for n in orders]
+    def marked(n: int):
+        return lambda g: F.struct(F.lit(n).alias("n"), g.alias("gram"))
+
+    each = [F.transform(split(F.col(value), n), marked(n)) for n in orders]
     return df.select(key, F.explode(F.concat(*each)).alias("g")).select(key, "g.n", "g.gram")
 
 
@@ -81,13 +84,11 @@ def bleu_report(hyp: DataFrame, ref: DataFrame, key: str = "sent_id", value: str
 def chrf(hyp: DataFrame, ref: DataFrame, key: str = "sent_id", value: str = "value", n: int = 6, beta: float = 3.0, spaces: bool = False) -> DataFrame:
     """chrf, precision, recall over all sentences: character n-grams 1 to n, orders averaged, 0 where nothing matches."""
     text = (lambda c: F.trim(c)) if spaces else (lambda c: F.regexp_replace(c, r"[\s\u0085 　]+", ""))
-    letters = lambda c: F.filter(F.split(c, ""), lambda x: x != "")
 
     def split(c: Column, k: int) -> Column:
         count = F.length(c) - (k - 1)
         return F.when(count > 0, F.transform(F.sequence(F.lit(1), count), lambda i: F.substr(c, i, F.lit(k)))).otherwise(F.array().cast("array<string>"))
 
-    del letters
     side = lambda df: _grams(df.select(key, text(F.coalesce(value, F.lit(""))).alias("v")), key, "v", range(1, n + 1), split).groupBy(key, "n", "gram").agg(F.count("*").alias("c"))
     both = side(hyp).withColumnRenamed("c", "h").join(side(ref).withColumnRenamed("c", "r"), [key, "n", "gram"], "full_outer").fillna(0, ["h", "r"])
     by = both.groupBy("n").agg(F.sum(F.least("h", "r")).alias("correct"), F.sum("h").alias("hyp"), F.sum("r").alias("ref"))
@@ -104,18 +105,19 @@ def edit_distance(a: Column, b: Column, mode: str = "char") -> Column:
         return F.levenshtein(a, b)
     if mode != "word":
         raise ValueError(mode)
-    x, y = tokens(a), tokens(b)
-    first = F.transform(F.concat(F.array(F.lit("")), x), lambda _, i: i)
 
-    def row(prev: Column, w: Column) -> Column:
-        # the new row grows from the left; its head is the row number
-        def cell(acc: Column, i: Column) -> Column:
-            return F.array_append(acc, F.least(F.element_at(prev, i + 1) + 1, F.element_at(acc, -1) + 1, F.element_at(prev, i) + F.when(F.element_at(x, i) == w, 0).otherwise(1)))
+    def matrix(x: Column) -> Column:
+        def row(prev: Column, w: Column) -> Column:
+            # the new row grows from the left; its head is the row number
+            def cell(acc: Column, i: Column) -> Column:
+                return F.array_append(acc, F.least(F.element_at(prev, i + 1) + 1, F.element_at(acc, -1) + 1, F.element_at(prev, i) + F.when(F.element_at(x, i) == w, 0).otherwise(1)))
+
+            steps = F.when(F.size(x) > 0, F.sequence(F.lit(1), F.size(x))).otherwise(F.array().cast("array<int>"))
+            return F.aggregate(steps, F.array(F.element_at(prev, 1) + 1), cell)
 
-        steps = F.when(F.size(x) > 0, F.sequence(F.lit(1), F.size(x))).otherwise(F.array().cast("array<int>"))
-        return F.aggregate(steps, F.array(F.element_at(prev, 1) + 1), cell)
+        return F.element_at(F.aggregate(tokens(b), F.sequence(F.lit(0), F.size(x)), row), -1)
 
-    return F.element_at(F.aggregate(y, first, row), -1)
+    return let(tokens(a), matrix)
 
 
 def fuzzy_match(a: Column, b: Column, mode: str = "char") -> Column:

@@ -13,10 +13,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lexmill.functions import patterns
-from lexmill.functions.regex import java, strip
+from lexmill.functions.regex import java, let, strip
 from lexmill.operators.lines import Line, rule
 
-Freeze = Callable[[Column], Column | None]
+Freeze = Callable[[Column], Column]
 
 
 def fragments(c: Column, steps: list[tuple[str, Freeze]], ignore_case: bool = True) -> Column:
@@ -24,21 +24,22 @@ def fragments(c: Column, steps: list[tuple[str, Freeze]], ignore_case: bool = Tr
     piece = lambda t, free: F.struct(t.alias("text"), F.lit(free).alias("free"))
     out = F.array(piece(c, True))
     none = F.filter(out, lambda x: F.lit(False))
-    for pattern, freeze in steps:
-        p = java(pattern, ignore_case)
 
-        def cut(f: Column, p=p, freeze=freeze) -> Column:
-            texts = F.split(f["text"], p, -1)
-            found = F.regexp_extract_all(f["text"], F.lit(p), F.lit(0))
+    def cutter(p: str, freeze: Freeze) -> Callable[[Column], Column]:
+        def cut(f: Column) -> Column:
+            def pieces(found: Column) -> Column:
+                def at(t: Column, i: Column) -> Column:
+                    own = lambda m: F.when(m.isNotNull(), F.array(piece(t, True), piece(freeze(m), False))).when(t != "", F.array(piece(t, True))).otherwise(none)
+                    return let(F.get(found, i), own)
+
+                return F.flatten(F.transform(F.split(f["text"], p, -1), at))
 
-            def at(t: Column, i: Column) -> Column:
-                match = F.get(found, i)
-                tag = freeze(match)
-                return F.when(match.isNotNull(), F.array(piece(t, True)) if tag is None else F.array(piece(t, True), piece(tag, False))).when(t != "", F.array(piece(t, True))).otherwise(none)
+            return F.when(f["free"], let(F.regexp_extract_all(f["text"], F.lit(p), F.lit(0)), pieces)).otherwise(F.array(f))
 
-            return F.when(f["free"], F.flatten(F.transform(texts, at))).otherwise(F.array(f))
+        return cut
 
-        out = F.flatten(F.transform(out, cut))
+    for pattern, freeze in steps:
+        out = F.flatten(F.transform(out, cutter(java(pattern, ignore_case), freeze)))
     return out
 
 
@@ -125,9 +126,8 @@ def restore_entity(entity_tag: str = "", case_sensitive: str | bool = "False") -
             raw = F.try_to_binary(F.replace(F.regexp_extract(m, ">([^<]+)<", 1), F.lit(" "), F.lit("")), F.lit("hex"))
             return F.when(own.isin(names), F.concat(F.lit("<"), own, F.lit(":"), F.base64(raw), F.lit(">"))).otherwise(m)
 
-        parts = fragments(c, [(patterns.TAGGED, base64)], False)
-        whole = F.array_join(F.transform(parts, lambda f: f["text"]), "")
-        return F.when(~F.exists(parts, lambda f: f["text"].isNull()), whole)
+        texts = F.transform(fragments(c, [(patterns.TAGGED, base64)], False), lambda f: f["text"])
+        return let(texts, lambda t: F.when(~F.exists(t, lambda x: x.isNull()), F.array_join(t, "")))
 
     return run
 

@@ -18,7 +18,7 @@ from lexmill.functions.regex import tokens
 
 def leading_number(c: Column) -> Column:
     """The number at the start of a line, 0 where there is none (``sort -n``)."""
-    return F.coalesce(F.regexp_extract(c, r"^\s*(-?[0-9]*\.?[0-9]+)", 1).try_cast("double") if hasattr(Column, "try_cast") else F.regexp_extract(c, r"^\s*(-?[0-9]*\.?[0-9]+)", 1).cast("double"), F.lit(0.0))
+    return F.coalesce(F.regexp_extract(c, r"^\s*(-?[0-9]*\.?[0-9]+)", 1).try_cast("double"), F.lit(0.0))
 
 
 def sort_keys(value: str = "value", reverse: bool = False, num_sort: bool = False) -> list[Column]:
@@ -44,14 +44,24 @@ def uniq_adjacent(lines: DataFrame, value: str = "value", position: str = "line_
     return lines.withColumn("_keep", first | ~F.col(value).eqNullSafe(before)).where("_keep").drop("_keep")
 
 
-def numbered(df: DataFrame, keys: Sequence[Column], name: str = "line_no", start: int = 1) -> DataFrame:
-    """Dense global positions in the order of ``keys`` without one task for all rows: rows are range-partitioned, each
-    partition counts its own, and the partitions' totals (one row each) give the offsets."""
-    ordered = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id())
-    local = ordered.withColumn("_row", F.col("_at") - F.shiftleft(F.col("_part").cast("long"), 33))
-    totals = local.groupBy("_part").agg(F.count("*").alias("_n"))
-    offsets = totals.withColumn("_before", F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).select("_part", "_before")
-    return local.join(F.broadcast(offsets), "_part").withColumn(name, F.col("_before") + F.col("_row") + F.lit(start)).drop("_part", "_at", "_row", "_before")
+def numbered(df: DataFrame, keys: Sequence[tuple[Column, bool]], name: str = "line_no", start: int = 1, buckets: int = 0) -> DataFrame:
+    """Dense global positions in the order of ``keys`` (expression, descending) without one task for all rows.
+
+    Quantile bounds of the first key from a bounded sample cut the rows into buckets; the buckets' sizes (one row each)
+    give offsets, and rows are numbered inside their bucket. Bounds are literals, so every evaluation of the plan agrees."""
+    spark = df.sparkSession
+    first, down = keys[0]
+    keyed = df.withColumn("_k", first)
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    drawn = sorted(r[0] for r in keyed.where(F.col("_k").isNotNull()).select("_k").orderBy(F.xxhash64("_k")).limit(20 * buckets).distinct().collect())
+    bounds = sorted({drawn[len(drawn) * i // buckets] for i in range(1, buckets)}) if drawn else []
+    place = F.lit(0) if not bounds else F.coalesce(F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= F.col("_k"))), F.lit(0))
+    keyed = keyed.withColumn("_b", -place if down else place)
+    order = [k.desc() if d else k.asc() for k, d in keys]
+    sizes = keyed.groupBy("_b").agg(F.count("*").alias("_n"))
+    offsets = sizes.select("_b", (F.sum("_n").over(Window.orderBy("_b")) - F.col("_n")).alias("_before"))
+    local = keyed.withColumn("_row", F.row_number().over(Window.partitionBy("_b").orderBy(*order)))
+    return local.join(F.broadcast(offsets), "_b").withColumn(name, (F.col("_before") + F.col("_row") + F.lit(start - 1)).cast("long")).drop("_k", "_b", "_row", "_before")
 
 
 def cut_lines(lines: DataFrame, start: int, end: int, keys: Sequence[Column]) -> DataFrame:

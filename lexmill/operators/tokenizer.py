@@ -16,7 +16,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lexmill.functions import patterns
-from lexmill.functions.regex import java, strip, tokens
+from lexmill.functions.regex import java, let, strip, tokens
 from lexmill.operators.lines import Line, rule
 
 # Abbreviations after which a final period is no sentence end, and those that hold only before a number.
@@ -31,7 +31,7 @@ ESCAPES = [("&", "&amp;"), ("|", "&#124;"), ("<", "&lt;"), (">", "&gt;"), ("'",
 UNESCAPES = [("&bar;", "|"), ("&#124;", "|"), ("&lt;", "<"), ("&gt;", ">"), ("&bra;", "["), ("&ket;", "]"), ("&quot;", '"'), ("&apos;", "'"), ("&#91;", "["), ("&#93;", "]"), ("&amp;", "&")]
 
 _ALNUM, _ALPHA, _NUM = r"\p{IsAlphabetic}\p{Nd}", r"\p{IsAlphabetic}", r"\p{N}"
-_DOT, _HELD = "", ""
+_DOT, _HELD = "\ue002", "\ue003"
 _APOSTROPHES = {
     "en": [(f"([^{_ALPHA}])'([^{_ALPHA}])", "$1 ' $2"), (f"([^{_ALPHA}{_NUM}])'([{_ALPHA}])", "$1 ' $2"), (f"([{_ALPHA}])'([^{_ALPHA}])", "$1 ' $2"), (f"([{_ALPHA}])'([{_ALPHA}])", "$1 '$2"), (f"([{_NUM}])'(s)", "$1 '$2")],
     "fr": [(f"([^{_ALPHA}])'([^{_ALPHA}])", "$1 ' $2"), (f"([^{_ALPHA}])'([{_ALPHA}])", "$1 ' $2"), (f"([{_ALPHA}])'([^{_ALPHA}])", "$1 ' $2"), (f"([{_ALPHA}])'([{_ALPHA}])", "$1' $2")],
@@ -58,14 +58,14 @@ def tokenize(c: Column, lang: str = "en", *, aggressive: bool = False, escape: b
     if aggressive:
         x = F.regexp_replace(x, rf"([{_ALNUM}])-(?=[{_ALNUM}])", "$1 @-@ ")
     x = F.regexp_replace(x, r"\.(?=\.)|(?<=\.)\.", _DOT)
-    x = sub(x, [(rf"({_DOT}+)(?=.)", " $1 "), (rf"(?<! )({_DOT}+)$", " $1")])
+    x = sub(x, [(rf"({_DOT}++)(?=.)", " $1 "), (rf"(?<![ {_DOT}])({_DOT}+)$", " $1")])
     x = sub(x, [(f"([^{_NUM}]),", "$1 , "), (f",([^{_NUM}])", " , $1")])
     x = sub(x, _APOSTROPHES.get(lang, [("'", " ' ")]))
     x = _final_periods(x, lang, abbreviations)
     x = sub(x, [(" +", " "), ("^ ", ""), (" $", "")])
     if held is not None:
         pieces = F.split(x, _HELD)
-        x = F.array_join(F.transform(pieces, lambda p, i: F.concat(p, F.coalesce(F.get(held, i), F.lit("")))), "")
+        x = let(held, lambda h: F.array_join(F.transform(pieces, lambda p, i: F.concat(p, F.coalesce(F.get(h, i), F.lit("")))), ""))
     x = F.translate(x, _DOT, ".")
     return reduce(lambda y, s: F.replace(y, F.lit(s[0]), F.lit(s[1])), ESCAPES, x) if escape else x
 
@@ -73,17 +73,18 @@ def tokenize(c: Column, lang: str = "en", *, aggressive: bool = False, escape: b
 def _final_periods(x: Column, lang: str, abbreviations: dict[str, list[str]] | None) -> Column:
     """A word's final period is split off unless the word holds another period and a letter, is an abbreviation, or the
     next word starts in lower case; numeric abbreviations keep it before a digit."""
-    words = F.split(x, r"\s")
     known = prefixes(lang, abbreviations)
     numeric = NUMERIC_ONLY.get(lang, NUMERIC_ONLY["en"] if lang not in NONBREAKING else [])
 
-    def one(w: Column, i: Column) -> Column:
-        stem = F.regexp_extract(w, r"^(\S+)\.$", 1)
-        following = F.coalesce(F.get(words, i + 1), F.lit(""))
-        stays = (F.contains(stem, F.lit(".")) & stem.rlike(f"[{_ALPHA}]")) | stem.isin(known) | following.rlike(r"^\p{IsLowercase}") | (stem.isin(numeric) & following.rlike("^[0-9]"))
-        return F.when((stem != "") & ~stays, F.concat(stem, F.lit(" ."))).otherwise(w)
+    def joined(words: Column) -> Column:
+        def one(w: Column, i: Column) -> Column:
+            following = F.coalesce(F.get(words, i + 1), F.lit(""))
+            stays = lambda stem: (F.contains(stem, F.lit(".")) & stem.rlike(f"[{_ALPHA}]")) | stem.isin(known) | following.rlike(r"^\p{IsLowercase}") | (stem.isin(numeric) & following.rlike("^[0-9]"))
+            return F.when(F.endswith(w, F.lit(".")) & (F.length(w) > 1), let(F.left(w, F.length(w) - 1), lambda stem: F.when(stays(stem), w).otherwise(F.concat(stem, F.lit(" ."))))).otherwise(w)
 
-    return F.array_join(F.transform(words, one), " ")
+        return F.array_join(F.transform(words, one), " ")
+
+    return let(F.split(x, r"\s"), joined)
 
 
 @rule("common", "General_Sentence_Tokenizer")
@@ -236,8 +237,8 @@ def detokenize_array(words: Column, lang: str = "en") -> Column:
 def english_sentences(c: Column) -> Column:
     """Array of sentences: a cut after . ? ! and closing marks before white space and a capital, digit or quote, unless
     the word before the period is an abbreviation or a single letter. A rule, not a trained model."""
-    ends = F.regexp_replace(strip(c), r"(?<=[.?!][\"')\]”’]{0,3})\s+(?=[\p{Lu}\p{N}\"'(\[“‘])", "")
-    pieces = F.split(ends, "")
+    ends = F.regexp_replace(strip(c), r"(?<=[.?!][\"')\]”’]{0,3})\s+(?=[\p{Lu}\p{N}\"'(\[“‘])", "\ue004")
+    pieces = F.split(ends, "\ue004")
     known = "|".join(re.escape(p) for p in [*NONBREAKING["en"], *NUMERIC_ONLY["en"]])
     open_end = rf"(?:^|[\s(\"'“])(?:{known})\.$"
 
@@ -249,14 +250,15 @@ def english_sentences(c: Column) -> Column:
 
 def chinese_sentences(c: Column) -> Column:
     """Array of sentences: a cut after 。？！ and after a closing quote that follows one, but not inside “...”."""
-    x = F.regexp_replace(strip(c), "(……”|。”|？”|！”)", "$1")
-    pieces = F.split(x, "")
+    x = F.regexp_replace(strip(c), "(……”|。”|？”|！”)", "$1\ue004")
+    pieces = F.split(x, "\ue004")
 
     def inner(p: Column) -> Column:
-        quoted = F.regexp_extract_all(p, F.lit("“[^”]+”"), F.lit(0))
         free = F.split(p, "“[^”]+”", -1)
-        cut = lambda t: F.regexp_replace(t, "([。？！])", "$1")
-        return F.split(F.array_join(F.transform(free, lambda t, i: F.concat(cut(t), F.coalesce(F.get(quoted, i), F.lit("")))), ""), "")
+        quotes = F.regexp_extract_all(p, F.lit("“[^”]+”"), F.lit(0))
+        cut = lambda t: F.regexp_replace(t, "([。？！])", "$1\ue004")
+        joined = lambda quoted: F.array_join(F.transform(free, lambda t, i: F.concat(cut(t), F.coalesce(F.get(quoted, i), F.lit("")))), "")
+        return F.split(let(quotes, joined), "\ue004")
 
     return F.filter(F.transform(F.flatten(F.transform(pieces, inner)), strip), lambda s: s != "")
 
