@@ -9,7 +9,8 @@ A document is its set of word shingles, a node is a distinct set (equal sets are
    of the block is skipped), and an entry is skipped whose positions leave too few shingles for the overlap needed.
    Lists longer than ``all_pairs`` give only each entry's neighbour and its block's first entry.
 3. A parity bitmap of each set bounds the overlap of a pair from above; pairs under the bound go.
-4. Every node is verified against one partner. Verified pairs form groups of highly similar sets with known overlaps.
+4. Every node is verified against one partner, then, a few times, against one or two more from other groups: next
+   to it in a long list or from its pairs. Verified pairs form groups of highly similar sets with known overlaps.
 5. Pairs inside a group need no more work. For a pair (a, b) across groups, b is verified against a's partner p, and from
    |p & b|, |a & p| and the sizes both bounds of |a & b| follow; only pairs that the bounds leave open are verified.
    Long lists are entered again only where they still hold several groups.
@@ -30,6 +31,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lexmill.llm._common import blobs, materialise, slices, texts, words_of
 from lexmill.llm.components import components
@@ -391,7 +393,7 @@ def links_of(over: DataFrame, percent: int) -> DataFrame:
     return over.where(F.col("both") * 100 >= (F.col("size_a") + F.col("size_b") - F.col("both")) * percent)
 
 
-def join(docs: DataFrame, *, k: int = 5, percent: int = 75, sample: int = 20_000, least: int = 4, all_pairs: int = 24, bucket_postings: int = 1_500_000, in_one_task: int = 300_000) -> DataFrame:
+def join(docs: DataFrame, *, k: int = 5, percent: int = 75, sample: int = 20_000, least: int = 4, all_pairs: int = 24, rounds: int = 4, bucket_postings: int = 1_500_000, in_one_task: int = 300_000) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
@@ -403,15 +405,31 @@ def join(docs: DataFrame, *, k: int = 5, percent: int = 75, sample: int = 20_000
     table = materialise(nodes(docs, k, spark.sparkContext.broadcast(filt), bits), "ngram-nodes")
 
     pairs = materialise(bounded_pairs(cands.where("kind = 0").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), table, percent), "ngram-pairs")
-    star = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    first = materialise(links_of(overlaps(star, table), percent), "ngram-first")
-    labels = materialise(components(first.select(F.col("a").alias("u"), F.col("b").alias("v")), in_one_task=in_one_task), "ngram-labels")
+    entries = cands.where("kind = 1").select(F.col("x").alias("sh"), F.col("y").alias("b"), "size", "at")
 
     def labelled(df: DataFrame, col: str) -> DataFrame:
         return df.join(labels.toDF(col, f"label_{col}"), col, "left").withColumn(f"label_{col}", F.coalesce(f"label_{col}", col))
 
-    across = labelled(labelled(pairs, "a"), "b").where("label_a <> label_b").select("a", "b")
-    runs = labelled(cands.where("kind = 1").select(F.col("x").alias("sh"), F.col("y").alias("b"), "size", "at"), "b")
+    star = materialise(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "ngram-star")
+    found = materialise(links_of(overlaps(star, table), percent), "ngram-found")
+    first, links, tried = found, found.select("a", "b"), star
+    for turn in range(rounds):  # one more partner from another group for every node, while that joins groups
+        labels = materialise(components(links.select(F.col("a").alias("u"), F.col("b").alias("v")), in_one_task=in_one_task), "ngram-labels")
+        across = labelled(labelled(pairs, "a"), "b").where("label_a <> label_b").select("a", "b")
+        runs = labelled(entries, "b")
+        if turn == rounds - 1:
+            break
+        before = Window.partitionBy("sh").orderBy("size", "b")
+        near = runs.select(F.lag("b").over(before).alias("a"), "b", F.lag("label_b").over(before).alias("label_a"), "label_b", F.lag("size").over(before).alias("size_a"), "size")
+        near = near.where((F.col("label_a") != F.col("label_b")) & (F.col("size_a") * 100 >= F.col("size") * percent)).select("a", "b")
+        more = across.unionByName(near).distinct().join(tried, ["a", "b"], "left_anti").groupBy("b").agg(F.min("a").alias("a"), F.max("a").alias("z"))
+        more = more.select(F.col("a"), "b").unionByName(more.select(F.col("z").alias("a"), "b")).distinct()
+        more = materialise(bounded_pairs(more, table, percent), "ngram-more")
+        found = materialise(links_of(overlaps(more, table), percent), "ngram-found")
+        tried = materialise(tried.unionByName(more), "ngram-tried")
+        if not found.limit(1).count():
+            break
+        links = materialise(links.unionByName(found.select("a", "b")), "ngram-links")
     mixed_runs = runs.groupBy("sh").agg(F.min("label_b").alias("lo"), F.max("label_b").alias("hi")).where("lo <> hi").select("sh")
 
     def enter_again(t: pa.Table) -> pa.Table:
@@ -421,7 +439,7 @@ def join(docs: DataFrame, *, k: int = 5, percent: int = 75, sample: int = 20_000
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     again = runs.join(mixed_runs, "sh", "left_semi").groupBy("sh").applyInArrow(enter_again, "a long, b long").distinct()
-    across = materialise(across.unionByName(bounded_pairs(again, table, percent)).distinct().join(star.select("a", "b"), ["a", "b"], "left_anti"), "ngram-across")
+    across = materialise(across.unionByName(bounded_pairs(again, table, percent)).distinct().join(tried, ["a", "b"], "left_anti"), "ngram-across")
 
     # answers of a set from those of its partner: b against a's partner p decides most pairs (a, b)
     partner = first.select(F.col("b").alias("a"), F.col("a").alias("p"), F.col("both").alias("a_and_p"), F.col("size_b").alias("size_of_a"), F.col("size_a").alias("size_of_p"))
@@ -434,7 +452,7 @@ def join(docs: DataFrame, *, k: int = 5, percent: int = 75, sample: int = 20_000
     state = F.when(F.col("p_and_b").isNull(), 0).when(most < need, -1).when(fewest >= need, 1).otherwise(0)
     known = materialise(known.select("a", "b", state.alias("state")), "ngram-derived")
     verified = links_of(overlaps(known.where("state = 0").select("a", "b").distinct(), table), percent)
-    edges = first.select("a", "b").unionByName(links_of(asked, percent).select("a", "b")).unionByName(known.where("state = 1").select("a", "b")).unionByName(verified.select("a", "b"))
+    edges = links.unionByName(links_of(asked, percent).select("a", "b")).unionByName(known.where("state = 1").select("a", "b")).unionByName(verified.select("a", "b"))
     groups = components(edges.select(F.col("a").alias("u"), F.col("b").alias("v")), in_one_task=in_one_task)
 
     members = table.select("doc_id", "size", "node").join(groups, "node", "left").withColumn("label", F.coalesce("label", "node"))
