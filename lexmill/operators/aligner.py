@@ -7,6 +7,7 @@ from random import Random
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lexmill.functions.regex import tokens
 
@@ -40,10 +41,11 @@ def expanded(pairs: DataFrame, tension: float, null_prob: float, key: str, src:
 
 
 def step(e: DataFrame, t: DataFrame) -> DataFrame:
+    """One reference to the table of the round before, so the plan of several rounds stays linear in their number."""
     scored = e.join(t, ["lw", "rw"]).withColumn("w", F.col("prior") * F.col("p"))
-    total = scored.groupBy("k", "j").agg(F.sum("w").alias("sum"))
-    counts = scored.join(total, ["k", "j"]).groupBy("lw", "rw").agg(F.sum(F.col("w") / F.col("sum")).alias("c"))
-    return counts.join(counts.groupBy("lw").agg(F.sum("c").alias("all")), "lw").select("lw", "rw", (F.col("c") / F.col("all")).alias("p"))
+    shared = scored.withColumn("share", F.col("w") / F.sum("w").over(Window.partitionBy("k", "j")))
+    counts = shared.groupBy("lw", "rw").agg(F.sum("share").alias("c"))
+    return counts.select("lw", "rw", (F.col("c") / F.sum("c").over(Window.partitionBy("lw"))).alias("p"))
 
 
 def links(pairs: DataFrame, table: DataFrame, tension: float = 4.0, null_prob: float = 0.08, key: str = "pair_id", src: str = "src", tgt: str = "tgt") -> DataFrame:

@@ -55,7 +55,7 @@ def numbered(df: DataFrame, keys: Sequence[tuple[Column, bool]], name: str = "li
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     drawn = sorted(r[0] for r in keyed.where(F.col("_k").isNotNull()).select("_k").orderBy(F.xxhash64("_k")).limit(20 * buckets).distinct().collect())
     bounds = sorted({drawn[len(drawn) * i // buckets] for i in range(1, buckets)}) if drawn else []
-    place = F.lit(0) if not bounds else F.coalesce(F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= F.col("_k"))), F.lit(0))
+    place = sum((F.coalesce(F.col("_k") >= F.lit(b), F.lit(False)).cast("int") for b in bounds), F.lit(0))
     keyed = keyed.withColumn("_b", -place if down else place)
     order = [k.desc() if d else k.asc() for k, d in keys]
     sizes = keyed.groupBy("_b").agg(F.count("*").alias("_n"))
