@@ -219,10 +219,10 @@ def read_lists(table: pa.Table) -> tuple[np.ndarray, ...]:
     return sh[new], node[new], size[new], at[new], first[new]
 
 
-def pairs_of_lists(sh: np.ndarray, node: np.ndarray, size: np.ndarray, at: np.ndarray, percent: int, all_pairs: int, first: np.ndarray | None = None, label: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def pairs_of_lists(sh: np.ndarray, node: np.ndarray, size: np.ndarray, at: np.ndarray, percent: int, all_pairs: int, first: np.ndarray, own: np.ndarray, label: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Candidate pairs (smaller set, larger set), each once, and which entries stand in lists longer than ``all_pairs``.
-    With labels, pairs of equal labels are left out. With first shingles, a pair whose sets start with the same shingle is
-    left to the list of that shingle, which is certain to hold both."""
+    With labels, pairs of equal labels are left out. A pair whose sets start with the same shingle is left to the list of
+    that shingle, which is certain to hold both (``own``: this is the list of the entry's first shingle)."""
     if not len(sh):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
     starts = np.flatnonzero(np.concatenate([[True], sh[1:] != sh[:-1]]))
@@ -248,8 +248,7 @@ def pairs_of_lists(sh: np.ndarray, node: np.ndarray, size: np.ndarray, at: np.nd
         ok = np.minimum(size[active] - at[active], size[j] - at[j]) >= need
         if label is not None:
             ok &= label[active] != label[j]
-        if first is not None:
-            ok &= (first[active] != first[j]) | (first[active] == sh[active])
+        ok &= (first[active] != first[j]) | (own[active] & own[j])
         left.append(node[active[ok]])
         right.append(node[j[ok]])
         waiting += int(ok.sum())
@@ -261,17 +260,14 @@ def pairs_of_lists(sh: np.ndarray, node: np.ndarray, size: np.ndarray, at: np.nd
         i = np.flatnonzero(long)
         prev = i[np.concatenate([[False], sh[i][1:] == sh[i][:-1]])]
         prev = prev[size[prev - 1] * 100 >= percent * size[prev]]
-        if first is not None:
-            prev = prev[(first[prev] != first[prev - 1]) | (first[prev] == sh[prev])]
+        prev = prev[(first[prev] != first[prev - 1]) | (own[prev] & own[prev - 1])]
         left.append(node[prev - 1])
         right.append(node[prev])
         for s in starts[n > all_pairs]:
             e = end[s]
             head = s + np.searchsorted(size[s:e] * 100, percent * size[s:e])  # the first entry of each entry's block
             me = np.arange(s, e)
-            take = head < me
-            if first is not None:
-                take &= (first[head] != first[me]) | (first[me] == sh[me])
+            take = (head < me) & ((first[head] != first[me]) | (own[head] & own[me]))
             left.append(node[head[take]])
             right.append(node[me[take]])
     left, right = left or [np.zeros(0, np.int64)], right or [np.zeros(0, np.int64)]
@@ -279,20 +275,22 @@ def pairs_of_lists(sh: np.ndarray, node: np.ndarray, size: np.ndarray, at: np.nd
     return np.concatenate(left), np.concatenate(right), long
 
 
-def merged_lists(sh: np.ndarray, node: np.ndarray, size: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
+def merged_lists(sh: np.ndarray, node: np.ndarray, size: np.ndarray, at: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
     """Lists with the same first entry as one, named by a shingle of theirs. An entry keeps its smallest position, so the
     position test only gets weaker: a merged list has all pairs of its lists. The lists of a group of similar sets mostly
     start alike, so the group is entered once or twice a bucket instead of once a shingle."""
+    own = sh == first
     if not len(sh):
-        return sh.view(np.int64), node, size, at
+        return sh.view(np.int64), node, size, at, first.view(np.int64), own
     starts = np.flatnonzero(np.concatenate([[True], sh[1:] != sh[:-1]]))
     n = np.diff(np.append(starts, len(sh)))
-    _, first, which = np.unique(node[starts], return_index=True, return_inverse=True)
-    name = np.repeat(sh[starts][first][which], n)
+    _, head, which = np.unique(node[starts], return_index=True, return_inverse=True)
+    name = np.repeat(sh[starts][head][which], n)
     by = np.lexsort((at, node, name))
-    name, node, size, at = name[by], node[by], size[by], at[by]
+    name, node, size, at, first, own = name[by], node[by], size[by], at[by], first[by], own[by]
     new = np.concatenate([[True], (name[1:] != name[:-1]) | (node[1:] != node[:-1])])
-    return name[new].view(np.int64), node[new], size[new], at[new]
+    own = np.maximum.reduceat(own, np.flatnonzero(new))
+    return name[new].view(np.int64), node[new], size[new], at[new], first[new].view(np.int64), own
 
 
 def candidates(post: DataFrame, percent: int, all_pairs: int) -> DataFrame:
@@ -300,15 +298,16 @@ def candidates(post: DataFrame, percent: int, all_pairs: int) -> DataFrame:
 
     def run(table: pa.Table) -> pa.Table:
         sh, node, size, at, first = read_lists(table)
-        a, b, long = pairs_of_lists(sh, node, size, at, percent, all_pairs, first)
-        name, node, size, at = merged_lists(sh[long], node[long], size[long], at[long])
+        a, b, long = pairs_of_lists(sh, node, size, at, percent, all_pairs, first, sh == first)
+        name, node, size, at, first, own = merged_lists(sh[long], node[long], size[long], at[long], first[long])
         zero = np.zeros(len(a), np.int64)
         return pa.table({
             "kind": pa.array(np.concatenate([zero, np.ones(len(name), np.int64)]).astype(np.int32)), "x": pa.array(np.concatenate([a, name])), "y": pa.array(np.concatenate([b, node])),
             "size": pa.array(np.concatenate([zero, size]).astype(np.int32)), "at": pa.array(np.concatenate([zero, at]).astype(np.int32)),
+            "first": pa.array(np.concatenate([zero, first])), "own": pa.array(np.concatenate([zero != 0, own])),
         })
 
-    return post.groupBy("bucket").applyInArrow(run, "kind int, x long, y long, size int, at int")
+    return post.groupBy("bucket").applyInArrow(run, "kind int, x long, y long, size int, at int, first long, own boolean")
 
 
 def nodes(docs: DataFrame, k: int, wanted, bits: int) -> DataFrame:
@@ -405,7 +404,7 @@ def join(docs: DataFrame, *, k: int = 5, percent: int = 75, sample: int = 20_000
     table = materialise(nodes(docs, k, spark.sparkContext.broadcast(filt), bits), "ngram-nodes")
 
     pairs = materialise(bounded_pairs(cands.where("kind = 0").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), table, percent), "ngram-pairs")
-    entries = cands.where("kind = 1").select(F.col("x").alias("sh"), F.col("y").alias("b"), "size", "at")
+    entries = cands.where("kind = 1").select(F.col("x").alias("sh"), F.col("y").alias("b"), "size", "at", "first", "own")
 
     def labelled(df: DataFrame, col: str) -> DataFrame:
         return df.join(labels.toDF(col, f"label_{col}"), col, "left").withColumn(f"label_{col}", F.coalesce(f"label_{col}", col))
@@ -433,9 +432,9 @@ def join(docs: DataFrame, *, k: int = 5, percent: int = 75, sample: int = 20_000
     mixed_runs = runs.groupBy("sh").agg(F.min("label_b").alias("lo"), F.max("label_b").alias("hi")).where("lo <> hi").select("sh")
 
     def enter_again(t: pa.Table) -> pa.Table:
-        node, size, at, label = (t.column(c).to_numpy().astype(np.int64) for c in ("b", "size", "at", "label_b"))
+        node, size, at, label, first, own = (np.array(t.column(c).to_pylist(), np.int64) for c in ("b", "size", "at", "label_b", "first", "own"))
         by = np.lexsort((node, size))
-        a, b, _ = pairs_of_lists(np.zeros(len(by), np.uint64), node[by], size[by], at[by], percent, len(by), label=label[by])
+        a, b, _ = pairs_of_lists(np.zeros(len(by), np.uint64), node[by], size[by], at[by], percent, len(by), first[by], own[by] != 0, label[by])
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     again = runs.join(mixed_runs, "sh", "left_semi").groupBy("sh").applyInArrow(enter_again, "a long, b long").distinct()
