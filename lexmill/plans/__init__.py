@@ -361,7 +361,7 @@ def _json(ctx, inputs):
     return [d.select(F.col("doc_id").cast("long").alias("line_no"), F.col("json").alias("value"))]
 
 
-@file_rule("Translate_3rd_Party", "Translate_Atman", "Translate_Atman_HTTP", "Translate_Atman_By_Shell")
+@file_rule("Translate")
 def _translate(ctx, inputs, **params):
     """Any translator is a client the caller provides: ``services={"translate": function}``."""
     from lexmill.sources import translated
@@ -428,6 +428,7 @@ class Engine:
     def _file_rule(self, name: str, inputs: Tables, params: Mapping) -> Tables:
         language, own = language_of(name)
         params = {k: bound(v, self.services) for k, v in params.items()}
+        own = "Translate" if own.startswith("Translate_") else own  # every translator is the caller's client
         if own in FILE_RULES:
             return FILE_RULES[own](self, inputs, **params)
         operator = lines.get(language, own, **params)  # a line rule over a whole table
