@@ -50,7 +50,7 @@ def texts(column: pa.Array) -> list[str]:
     return [t or "" for t in column.to_pylist()]
 
 
-def slices(batch: pa.RecordBatch, rows: int = 1000):
+def slices(batch: pa.RecordBatch, rows: int = 400):
     """A record batch in parts, so that only some of its texts are Python strings at a time."""
     for lo in range(0, batch.num_rows, rows):
         yield batch.slice(lo, rows)

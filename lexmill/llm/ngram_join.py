@@ -45,7 +45,7 @@ class WordHashes(dict):
     """word -> 64-bit hash; a cache that is emptied when it grows large."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 200_000:
+        if len(self) > 60_000:
             self.clear()
         self[word] = h = xxhash.xxh3_64_intdigest(word)
         return h
@@ -130,7 +130,7 @@ def common_shingles(docs: DataFrame, k: int, rows: int, sample: int, least: int)
                 if len(s) and (me := node_of(s)) not in seen:
                     seen.add(me)
                     held.append(s)
-            if sum(map(len, held)) > 500_000:
+            if sum(map(len, held)) > 250_000:
                 yield counted(held)
                 held = []
         if held:
@@ -144,7 +144,7 @@ def common_shingles(docs: DataFrame, k: int, rows: int, sample: int, least: int)
     return Common(got["key"].to_numpy(np.int64).view(np.uint64), got["n"].to_numpy(np.int64))
 
 
-def postings(docs: DataFrame, common, k: int, percent: int, buckets: int, flush: int = 700_000) -> DataFrame:
+def postings(docs: DataFrame, common, k: int, percent: int, buckets: int, flush: int = 300_000) -> DataFrame:
     """Packed prefixes by bucket of shingle: shingle, document of the row (its node, size and first shingle), position."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,7 +158,7 @@ def postings(docs: DataFrame, common, k: int, percent: int, buckets: int, flush:
                 s = shingles(t, k, known)
                 if not len(s) or (me := node_of(s)) in seen:
                     continue
-                if len(seen) > 2_000_000:
+                if len(seen) > 500_000:
                     seen.clear()
                 seen.add(me)
                 p = order.prefix(s, len(s) - int(-(-percent * len(s) // 100)) + 1)
@@ -252,7 +252,7 @@ def pairs_of_lists(sh: np.ndarray, node: np.ndarray, size: np.ndarray, at: np.nd
         left.append(node[active[ok]])
         right.append(node[j[ok]])
         waiting += int(ok.sum())
-        if waiting > 4_000_000:
+        if waiting > 1_000_000:
             fold_up()
             waiting = 0
         d += 1
@@ -325,6 +325,8 @@ def nodes(docs: DataFrame, k: int, wanted, bits: int) -> DataFrame:
                     cell = me & ((1 << bits) - 1) if len(s) else 0
                     take = len(s) and me not in seen and filt[cell >> 6] >> np.uint64(cell & 63) & np.uint64(1)
                     if take:
+                        if len(seen) > 500_000:
+                            seen.clear()
                         seen.add(me)
                     for o, v in zip(out, (len(s), me, parity(s) if take else None, (s & _LOW48).view(np.uint8).reshape(-1, 8)[:, :6].tobytes() if take else None)):
                         o.append(v)
