@@ -431,15 +431,19 @@ def join(docs: DataFrame, *, k: int = 5, percent: int = 75, sample: int = 20_000
         if not found.limit(1).count():
             break
         links = materialise(links.unionByName(found.select("a", "b")), "ngram-links")
-    mixed_runs = runs.groupBy("sh").agg(F.min("label_b").alias("lo"), F.max("label_b").alias("hi")).where("lo <> hi").select("sh")
+    mixed_runs = runs.groupBy("sh").agg(F.min("label_b").alias("lo"), F.max("label_b").alias("hi")).where("lo <> hi").select("sh", "lo")
 
     def enter_again(t: pa.Table) -> pa.Table:
         node, size, at, label, first, own = (np.array(t.column(c).to_pylist(), np.int64) for c in ("b", "size", "at", "label_b", "first", "own"))
-        by = np.lexsort((node, size))
+        by = np.lexsort((at, node, size))  # lists that share their smallest group are one, each node once
+        new = np.flatnonzero(np.concatenate([[True], node[by][1:] != node[by][:-1]]))
+        own = np.maximum.reduceat(own[by], new)
+        node, size, at, label, first = (x[by][new] for x in (node, size, at, label, first))
+        by = np.arange(len(node))
         a, b, _ = pairs_of_lists(np.zeros(len(by), np.uint64), node[by], size[by], at[by], percent, len(by), first[by], own[by] != 0, label[by])
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    again = runs.join(mixed_runs, "sh", "left_semi").groupBy("sh").applyInArrow(enter_again, "a long, b long").distinct()
+    again = runs.join(mixed_runs, "sh").groupBy("lo").applyInArrow(enter_again, "a long, b long").distinct()
     across = materialise(across.unionByName(bounded_pairs(again, table, percent)).distinct().join(tried, ["a", "b"], "left_anti"), "ngram-across")
 
     # answers of a set from those of its partner: b against a's partner p decides most pairs (a, b)
