@@ -1,15 +1,17 @@
 """Benchmark decontamination by spaced-seed hashing.
 
 Texts become words (letters, digits and underscores, lower-cased), words 64-bit hashes. Fixed masks over a window of
-``SPAN`` words ignore some positions, so a window still hits when those words were substituted. Hits of a document window
-and a benchmark window fix a diagonal; along it the two texts are compared word by word and the best stretch (a match
-counts 1, a mismatch costs 4) must hold at least ``least`` matching words, or four fifths of a shorter item.
+words ignore some positions, so a window still hits when those words were substituted. Hits of a document window and a
+benchmark window fix a diagonal; along it the two texts are compared word by word. An item is found when some stretch of
+the diagonal has at most one mismatch to four matches and at least ``least`` matching words, or four fifths of a shorter
+item; the masks hit every such stretch. The figures are those of the best stretch (a match counts 1, a mismatch costs
+``cost``) where it holds enough words itself, else those of the stretch with the most matches.
 
 The benchmark side is taken in blocks of at most ``block_words`` words, each sent to all tasks: what is broadcast is
 bounded, and a larger benchmark takes more passes. Documents are never shuffled.
 
-Cases: null or empty texts on either side match nothing; items shorter than ``SPAN`` words are found only as the whole
-run of their words, items of fewer than ``shortest`` words never; null ids are matched and carried; repeated documents
+Cases: null or empty texts on either side match nothing; items of five to nine words are found with one word substituted
+or missing at an end, shorter ones only as the whole run of their words, items of fewer than ``shortest`` words never; null ids are matched and carried; repeated documents
 are reported once; repeated item ids count as one item with several texts; empty tables give no rows. Extra columns are
 ignored; texts are searched whole.
 """
@@ -28,9 +30,16 @@ from pyspark.sql.window import Window
 
 from lexmill.llm._common import texts
 
+#: The longest window.
 SPAN = 10
-#: Positions each mask looks at. Any one substitution is ignored by some mask, and two of most pairs.
-MASKS = ((0, 1, 2, 4, 5, 7, 9), (0, 2, 3, 5, 6, 8, 9), (0, 1, 3, 4, 6, 7, 8), (1, 2, 3, 4, 7, 8, 9))
+#: Positions each mask looks at. Cut a stretch with at most a fifth of its words substituted into fives: either one of them
+#: is whole, or two neighbours have one substitution each, at i and j. The other masks ignore all (i, j) without a whole five between.
+MASKS = ((0, 1, 2, 3, 4), (0, 1, 3, 4, 5, 6), (0, 3, 4, 5, 8, 9), (0, 1, 2, 7, 8, 9), (0, 1, 2, 5, 6, 9), (0, 1, 2, 3, 5, 6, 7, 8))
+#: Masks of shorter items by their number of words: any one substitution is ignored by some mask.
+SHORT = {
+    5: ((0, 1, 2, 3), (0, 2, 3, 4), (0, 1, 3, 4), (0, 1, 2, 4)), 6: ((0, 1, 2, 3, 4), (0, 3, 4, 5), (0, 1, 2, 5)), 7: ((0, 1, 2, 3, 4), (0, 1, 4, 5, 6), (0, 1, 2, 5, 6)),
+    8: ((0, 1, 2, 3, 4), (0, 1, 2, 5, 6, 7)), 9: ((0, 1, 2, 3, 4), (0, 1, 2, 3, 5, 6, 7, 8)),
+}
 _WORD = re.compile(r"\w+")
 _ODD = np.array([(2 * i + 1) * 0x9E3779B97F4A7C15 % (1 << 64) | 1 for i in range(SPAN)], np.uint64)
 _BITS = 22
@@ -51,10 +60,10 @@ def word_hashes(text: str, known: dict) -> np.ndarray:
     return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 
-def window_hashes(h: np.ndarray, places: tuple[int, ...], span: int, salt: int) -> np.ndarray:
-    """One hash for each window of ``span`` words, of the words at ``places``."""
-    n = len(h) - span + 1
-    out = np.full(max(n, 0), salt, np.uint64)
+def window_hashes(h: np.ndarray, places: tuple[int, ...]) -> np.ndarray:
+    """One hash for each window that ends with the last of ``places``, of the words at ``places``."""
+    n = len(h) - places[-1]
+    out = np.full(max(n, 0), sum(1 << p for p in places), np.uint64)
     for p in places if n > 0 else ():
         out += h[p : p + n] * _ODD[p]
     return out ^ (out >> np.uint64(29))
@@ -66,7 +75,7 @@ class Index:
     def __init__(self, items: list[tuple], shortest: int):
         known = _Hashes()
         self.ids, self.words, seeds = [], [], []
-        self.shapes = {(k, m, SPAN) for k, m in enumerate(MASKS)}
+        shapes = set()
         for item_id, text in items:
             h = word_hashes(text or "", known)
             if len(h) < shortest:
@@ -74,12 +83,11 @@ class Index:
             me = len(self.ids)
             self.ids.append(item_id)
             self.words.append(h)
-            short = len(h) < SPAN
-            for k, m, span in [(100 + len(h), tuple(range(len(h))), len(h))] if short else [(k, m, SPAN) for k, m in enumerate(MASKS)]:
-                self.shapes.add((k, m, span))
-                w = window_hashes(h, m, span, k)
+            for m in SHORT.get(len(h), (tuple(range(len(h))),)) if 0 < len(h) < SPAN else MASKS if len(h) else ():
+                shapes.add(m)
+                w = window_hashes(h, m)
                 seeds.append((w, np.full(len(w), me), np.arange(len(w))))
-        self.shapes = sorted(self.shapes)
+        self.shapes = sorted(shapes)
         key, item, at = (np.concatenate([s[i] for s in seeds]) if seeds else np.zeros(0, np.int64) for i in range(3))
         order = np.argsort(key, kind="stable")
         self.key, self.item, self.at = key[order].astype(np.uint64), item[order], at[order]
@@ -89,12 +97,12 @@ class Index:
     def hits(self, h: np.ndarray, doc: np.ndarray) -> np.ndarray:
         """Rows (document, item, diagonal), each once; h and doc are the words of all documents one after another."""
         found = []
-        for k, places, span in self.shapes:
-            w = window_hashes(h, places, span, k)
+        for places in self.shapes:
+            w = window_hashes(h, places)
             if not len(w) or not len(self.key):
                 continue
             at = np.flatnonzero(self.bitmap[(w >> np.uint64(64 - _BITS)).astype(np.int64)])
-            at = at[doc[at] == doc[at + span - 1]]
+            at = at[doc[at] == doc[at + places[-1]]]
             lo, hi = np.searchsorted(self.key, w[at], "left"), np.searchsorted(self.key, w[at], "right")
             n = hi - lo
             at, lo, n = at[n > 0], lo[n > 0], n[n > 0]
@@ -113,6 +121,15 @@ def best_stretch(same: np.ndarray, cost: int) -> tuple[int, int]:
     return int(same[start:end].sum()), end - start
 
 
+def widest_stretch(same: np.ndarray) -> tuple[int, int]:
+    """Matches and length of the stretch with the most matches among those with at least four matches to a mismatch."""
+    c = np.concatenate([[0], np.cumsum(np.where(same, 1, -4))])
+    m = np.concatenate([[0], np.cumsum(same)])
+    start = np.searchsorted(-np.minimum.accumulate(c), -c)  # for each end the first start from which the sum is not negative
+    end = int((m - m[start]).argmax())
+    return int(m[end] - m[start[end]]), int(end - start[end])
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, *, least: int = 13, shortest: int = 5, cost: int = 4, block_words: int = 500_000) -> DataFrame:
     """doc_id, item_id, matched_words, overlap_words: one row for each document and item found in it."""
     spark = docs.sparkSession
@@ -139,8 +156,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, least: int = 13, shor
                         item = ix.words[i]
                         at = diagonal - first[d]
                         s, e = max(0, -at), min(len(item), len(words[d]) - at)
-                        got = best_stretch(item[s:e] == words[d][at + s : at + e], cost)
-                        if got[0] >= min(least, -(-4 * len(item) // 5)):
+                        same = item[s:e] == words[d][at + s : at + e]
+                        enough = min(least, -(-4 * len(item) // 5))
+                        if same.sum() < enough:
+                            continue
+                        got = best_stretch(same, cost)
+                        if got[0] < enough:
+                            got = widest_stretch(same)
+                        if got[0] >= enough:
                             best[d, i] = max(best.get((d, i), (0, 0)), got)
                     if best:
                         at = list(best)

@@ -234,6 +234,28 @@ def test_decontamination(spark):
     assert {r["doc_id"]: (r["matched_words"], r["overlap_words"]) for r in got}[1] == (19, 21)  # words 5 to 25, two substituted
 
 
+def test_decontamination_substitutions(spark):
+    rng = random.Random(8)
+    items = {n: [f"i{n}x{j}" for j in range(n)] for n in (*range(5, 21), 24, 31, 40)}
+
+    def found(same, n):  # any stretch with at most one mismatch to four matches and enough matches
+        return any(sum(same[a:b]) >= max(4 * (b - a - sum(same[a:b])), min(13, math.ceil(0.8 * n))) for a in range(n) for b in range(a + 1, n + 1))
+
+    patterns = [(n, (p,)) for n in range(5, 21) for p in range(n)] + [(n, (p, q)) for n in range(5, 21) for p in range(n) for q in range(p)]
+    patterns += [(n, tuple(rng.sample(range(n), rng.randint(n // 6, n // 4 + 1)))) for n in items for _ in range(40)]
+    rows, want = [], set()
+    for k, (n, out) in enumerate(patterns):
+        text = [f"no{k}" if j in out else w for j, w in enumerate(items[n])]
+        around = [[f"o{rng.randrange(9000)}" for _ in range(rng.choice([0, 15]))] for _ in range(2)]
+        rows.append((k, " ".join(around[0] + text + around[1])))
+        if found([j not in out for j in range(n)], n):
+            want.add((k, n))
+    assert all((k, n) in want for k, (n, out) in enumerate(patterns) if len(out) <= n // 5)
+    got = decontamination.contaminated(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), spark.createDataFrame([(n, " ".join(w)) for n, w in items.items()], "item_id int, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == want
+    assert all(r["matched_words"] >= min(13, math.ceil(0.8 * r["item_id"])) for r in got)
+
+
 def test_language(spark):
     rng = random.Random(4)
     vocab = {"en": ["the", "and", "with", "house", "which"], "de": ["und", "der", "nicht", "haus", "schön"], "fr": ["les", "avec", "maison", "être", "dans"]}
