@@ -371,7 +371,7 @@ def _moses_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 add("phrase_pack", lambda s, d: phrases.packed(_moses_table(s, d)).select("lw", F.col("n").cast("long").alias("n"), F.array_join("words", " ").alias("words")), "SELECT * FROM (VALUES ('a', 1::BIGINT, 'x'), ('b', 1, 'y z'), ('c', 1, ''), ('a b c', 3, 'w')) AS t(lw, n, words)")
 add("alignment_update", lambda s, d: phrases.alignment_update(s.createDataFrame([("a", ["x", "y"]), ("b", ["z"])], "lw string, words array<string>"), s.createDataFrame([("a", ["y", "w"]), ("c", ["q"])], "lw string, words array<string>")).select("lw", F.array_join("words", " ").alias("words")), "SELECT * FROM (VALUES ('a', 'x y w'), ('b', 'z'), ('c', 'q')) AS t(lw, words)")
-add("word_alignment", lambda s, d: aligner.word_table(turn_pairs(s, d).select("pair_id", F.array_join(F.slice(tokens(F.col("src")), 1, 8), " ").alias("src"), F.array_join(F.slice(tokens(F.col("tgt")), 1, 8), " ").alias("tgt")), 2))
+add("word_alignment", lambda s, d: aligner.word_table(turn_pairs(s, d), 2))
 add("word_links", lambda s, d: aligner.links(p := turn_pairs(s, d).select("pair_id", F.element_at(tokens(F.col("src")), 1).alias("src"), F.element_at(tokens(F.col("tgt")), 1).alias("tgt")), aligner.word_table(p, 2)), f"WITH {_PAIRS_SQL} SELECT pair_id, '0-0' AS links FROM pairs WHERE {_len('src')} > 0 AND {_len('tgt')} > 0")
 add("sampled_phrases", lambda s, d: aligner.sampled_phrases(turn_pairs(s, d), rounds=3))
 
