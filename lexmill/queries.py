@@ -373,6 +373,9 @@ add("phrase_pack", lambda s, d: phrases.packed(_moses_table(s, d)).select("lw",
 add("alignment_update", lambda s, d: phrases.alignment_update(s.createDataFrame([("a", ["x", "y"]), ("b", ["z"])], "lw string, words array<string>"), s.createDataFrame([("a", ["y", "w"]), ("c", ["q"])], "lw string, words array<string>")).select("lw", F.array_join("words", " ").alias("words")), "SELECT * FROM (VALUES ('a', 'x y w'), ('b', 'z'), ('c', 'q')) AS t(lw, words)")
 add("word_alignment", lambda s, d: aligner.word_table(turn_pairs(s, d), 2))
 add("word_links", lambda s, d: aligner.links(p := turn_pairs(s, d).select("pair_id", F.element_at(tokens(F.col("src")), 1).alias("src"), F.element_at(tokens(F.col("tgt")), 1).alias("tgt")), aligner.word_table(p, 2)), f"WITH {_PAIRS_SQL} SELECT pair_id, '0-0' AS links FROM pairs WHERE {_len('src')} > 0 AND {_len('tgt')} > 0")
+# The SQL of word_links and phrase_lexical_weights holds first tokens only; these work on whole turns and phrases.
+add("word_links_whole", lambda s, d: aligner.links(p := turn_pairs(s, d), aligner.word_table(p, 2)))
+add("phrase_lexical_weights_whole", lambda s, d: phrases.lexical_weights(aligner.phrase_candidates(p := turn_pairs(s, d)).select("src", "tgt"), p).select("src", "tgt", F.col("lexw")[0].alias("w1"), F.col("lexw")[1].alias("w2")))
 add("sampled_phrases", lambda s, d: aligner.sampled_phrases(turn_pairs(s, d), rounds=3))
 
 # --- alignment, case --------------------------------------------------------------------------------------------------

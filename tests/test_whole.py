@@ -15,7 +15,7 @@ def folder(spark, tmp_path_factory):
     rng = random.Random(11)
     vocab = [f"w{i}" for i in range(12)] + ["été", "größe", "año"]
     turns = [(c, t, "user" if t % 2 == 0 else "assistant", " ".join(rng.choices(vocab, k=rng.randint(9, 14)))) for c in range(4) for t in range(3)]
-    turns += [(9, 0, "user", ""), (9, 1, "assistant", "w1 alone")]
+    turns += [(9, 0, "user", ""), (9, 1, "assistant", "w1 alone"), (7, 0, "user", "w1 w2 p1 p2 p3"), (7, 1, "assistant", "q1 q2 w3 w1")]
     d = tmp_path_factory.mktemp("whole")
     spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(f"{d}/conversations.parquet")
     spark.createDataFrame([(5, "b\na\nb"), (3, "x\n\ny")], "doc_id long, text string").write.parquet(f"{d}/documents.parquet")
@@ -53,3 +53,37 @@ def test_word_alignment_reads_whole_turns(spark, folder, pairs):
     got = {(r["lw"], r["rw"]): r["p"] for r in queries.QUERIES["word_alignment"](spark, folder).collect()}
     want = expectation(pairs, 2)
     assert got.keys() == want.keys() and all(math.isclose(got[k], want[k], rel_tol=1e-9) for k in want)
+
+
+def test_word_links_read_whole_turns(spark, folder, pairs):
+    got = {r["pair_id"]: r["links"] for r in queries.QUERIES["word_links_whole"](spark, folder).collect()}
+    p = expectation(pairs, 2)
+    whole = {k: (a.split(), b.split()) for k, (a, b) in pairs.items() if a and b}
+    assert got.keys() == whole.keys()
+    for k, (src, tgt) in whole.items():
+        links = [tuple(map(int, x.split("-"))) for x in got[k].split()]
+        assert [j for _, j in links] == list(range(len(tgt)))
+        for i, j in links:
+            w = [x * p.get((lw, tgt[j]), 1e-7) for lw, x in zip(src, weights(len(src), j, len(tgt)))]
+            assert math.isclose(w[i], max(w), rel_tol=1e-9)
+    assert any(i > 0 for v in got.values() for i in (int(x.split("-")[0]) for x in v.split()))
+
+
+def test_lexical_weights_of_whole_phrases(spark, folder, pairs):
+    got = {(r["src"], r["tgt"]): (r["w1"], r["w2"]) for r in queries.QUERIES["phrase_lexical_weights_whole"](spark, folder).collect()}
+    turns = [(a.split(), b.split()) for a, b in pairs.values()]
+    lines = {s: [t[s] for t in turns] for s in (0, 1)}
+    on = {(s, w): frozenset(k for k, t in enumerate(lines[s]) if w in t) for s in (0, 1) for t in lines[s] for w in t}
+    want = set()
+    for group in {g for (s, _), g in on.items() if s == 0} & {g for (s, _), g in on.items() if s == 1}:
+        for k in group:
+            for own in (True, False):
+                sides = [[i for i, w in enumerate(lines[s][k]) if (on[s, w] == group) == own] for s in (0, 1)]
+                if all(0 < len(x) <= 7 and x[-1] - x[0] + 1 == len(x) for x in sides):
+                    want.add(tuple(" ".join(lines[s][k][i] for i in sides[s]) for s in (0, 1)))
+    n = [Counter(w for t in lines[s] for w in set(t)) for s in (0, 1)]
+    both = Counter((x, y) for a, b in turns for x in set(a) for y in set(b))
+    assert got.keys() == want and any(" " in a and " " in b for a, b in want)
+    for (a, b), (w1, w2) in got.items():
+        assert math.isclose(w1, math.prod(max(both[x, y] / n[0][x] for x in a.split()) for y in b.split()), rel_tol=1e-9)
+        assert math.isclose(w2, math.prod(max(both[x, y] / n[1][y] for y in b.split()) for x in a.split()), rel_tol=1e-9)
