@@ -222,6 +222,8 @@ add("uniq_adjacent", lambda s, d: tables.uniq_adjacent(all_lines(s, d), group=["
 add("numbered", lambda s, d: tables.numbered(tables.uniq(all_lines(s, d)), [(F.col("value"), False)], "rank"), f"WITH {LINES_SQL} SELECT value, row_number() OVER (ORDER BY value NULLS FIRST) AS rank FROM (SELECT DISTINCT value FROM lines)")
 add("insert_line", lambda s, d: tables.insert_line(all_lines(s, d).where("doc_id = -1").select(F.col("line_no").cast("long").alias("line_no"), "value"), 3, "_PAD"),
     f"WITH {LINES_SQL} SELECT CASE WHEN line_no >= 3 THEN line_no + 1 ELSE line_no END::BIGINT AS line_no, value FROM lines WHERE doc_id = -1 UNION ALL SELECT 3, '_PAD'")
+# All lines as one file, by document and line; the SQL of insert_line holds the sample lines.
+add("insert_line_whole", lambda s, d: tables.insert_line(tables.numbered(all_lines(s, d).select("doc_id", F.col("line_no").alias("at"), "value"), [(F.col("doc_id"), False), (F.col("at"), False), (F.col("value"), False)], "line_no"), 3, "_PAD"))
 add("shuffle", lambda s, d: tables.shuffle(all_lines(s, d), 7), f"WITH {LINES_SQL} SELECT * FROM lines")
 _TWIN = "CASE WHEN contains(value, chr(9)) THEN split_part(value, chr(9), {i}) ELSE value END"
 add("split_twin", lambda s, d: tables.split_twin(all_lines(s, d)).select("doc_id", "line_no", "left", "right"), f"WITH {LINES_SQL} SELECT doc_id, line_no, {_TWIN.format(i=1)} AS left, {_TWIN.format(i=2)} AS right FROM lines")
@@ -310,6 +312,9 @@ add("levenshtein_char", lambda s, d: turn_pairs(s, d).where(~F.concat("src", "tg
 _SHORT = [("a b c", "a c"), ("the cat sat", "the cat sat down"), ("x", "y z"), ("", "a b"), ("kitten sitting", "sitting kitten")]
 add("levenshtein_word", lambda s, d: s.createDataFrame(_SHORT, "a string, b string").select("a", "b", scoring.edit_distance(F.col("a"), F.col("b"), "word").alias("distance"), F.round(scoring.fuzzy_match(F.col("a"), F.col("b"), "word"), 6).alias("score")),
     "SELECT * FROM (VALUES ('a b c', 'a c', 1, 0.666667), ('the cat sat', 'the cat sat down', 1, 0.75), ('x', 'y z', 2, 0.0), ('', 'a b', 2, 0.0), ('kitten sitting', 'sitting kitten', 2, 0.0)) AS t(a, b, distance, score)")
+# The SQL of levenshtein_char holds ASCII pairs (its function counts bytes), that of levenshtein_word five pairs; these return all turn pairs.
+for _mode in ("char", "word"):
+    add(f"levenshtein_{_mode}_whole", lambda s, d, m=_mode: turn_pairs(s, d).select("pair_id", scoring.edit_distance(F.col("src"), F.col("tgt"), m).alias("distance"), F.round(scoring.fuzzy_match(F.col("src"), F.col("tgt"), m), 6).alias("score")))
 
 # --- phrases ----------------------------------------------------------------------------------------------------------
 

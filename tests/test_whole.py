@@ -87,3 +87,28 @@ def test_lexical_weights_of_whole_phrases(spark, folder, pairs):
     for (a, b), (w1, w2) in got.items():
         assert math.isclose(w1, math.prod(max(both[x, y] / n[0][x] for x in a.split()) for y in b.split()), rel_tol=1e-9)
         assert math.isclose(w2, math.prod(max(both[x, y] / n[1][y] for y in b.split()) for x in a.split()), rel_tol=1e-9)
+
+
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        before, row = row, [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(before[j] + 1, row[-1] + 1, before[j - 1] + (x != y)))
+    return row[-1]
+
+
+@pytest.mark.parametrize("mode", ["char", "word"])
+def test_edit_distance_of_all_pairs(spark, folder, pairs, mode):
+    got = {r["pair_id"]: (r["distance"], r["score"]) for r in queries.QUERIES[f"levenshtein_{mode}_whole"](spark, folder).collect()}
+    assert got.keys() == pairs.keys() and any(re.search(r"[^\x00-\x7f]", a + b) for a, b in pairs.values())
+    for k, (a, b) in pairs.items():
+        a, b = (a, b) if mode == "char" else (a.split(), b.split())
+        n, d = max(len(a), len(b)), distance(a, b)
+        assert got[k][0] == d and math.isclose(got[k][1], 1 - d / n if n else 1, abs_tol=1e-6)
+
+
+def test_insert_line_into_all_lines(spark, folder):
+    got = sorted((r["line_no"], r["value"]) for r in queries.QUERIES["insert_line_whole"](spark, folder).collect())
+    lines = [*queries.SAMPLES, "x", "", "y", "b", "a", "b"]
+    assert got == list(enumerate([*lines[:2], "_PAD", *lines[2:]], 1))
