@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import heapq
+import tempfile
+import uuid
 from collections import Counter, defaultdict
 from collections.abc import Iterable
+from functools import reduce
 
 import pandas as pd
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexmill.operators.lines import Line, rule
@@ -16,12 +20,15 @@ END = "</w>"
 
 
 def learn(lines: DataFrame, merges: int = 10_000, least: int = 2, value: str = "value", max_words: int = 1_000_000) -> list[tuple[str, str]]:
-    """Merge pairs by falling frequency, ties by the smaller pair. Words are counted by Spark; the merges are learned on
-    the driver from the ``max_words`` most frequent words (a documented bound of the training sample)."""
+    """Merge pairs by falling frequency, ties by the smaller pair, from all words. Words are counted by Spark; up to
+    ``max_words`` distinct ones the merges are learned on the driver, beyond that in rounds over a Spark table."""
     from lexmill.operators.tables import word_counts
 
-    counts = word_counts(lines, value).orderBy(F.desc("freq"), "word").limit(max_words).collect()
-    return learn_from({r["word"]: r["freq"] for r in counts}, merges, least)
+    counts = word_counts(lines, value)
+    own = counts.limit(max_words + 1).collect()
+    if len(own) > max_words:
+        return learn_in_rounds(counts, merges, least)
+    return learn_from({r["word"]: r["freq"] for r in own}, merges, least)
 
 
 def learn_from(counts: dict[str, int], merges: int, least: int = 2) -> list[tuple[str, str]]:
@@ -32,27 +39,100 @@ def learn_from(counts: dict[str, int], merges: int, least: int = 2) -> list[tupl
         for p in zip(s, s[1:]):
             pairs[p] += n
             where[p].add(i)
+    heap = [(-n, p) for p, n in pairs.items()]
+    heapq.heapify(heap)
     out: list[tuple[str, str]] = []
-    while len(out) < merges and pairs:
-        best = min(pairs, key=lambda p: (-pairs[p], p))
-        if pairs[best] < least:
+    while len(out) < merges and heap:
+        n, best = heapq.heappop(heap)
+        if pairs.get(best) != -n:  # counted anew since
+            continue
+        if -n < least:
             break
         out.append(best)
+        changed = set()
         for i in list(where[best]):
             s, n = words[i]
             for p in zip(s, s[1:]):
                 pairs[p] -= n
-                if pairs[p] <= 0:
-                    del pairs[p]
                 where[p].discard(i)
+                changed.add(p)
             s = merged(s, best)
             words[i] = (s, n)
             for p in zip(s, s[1:]):
                 pairs[p] += n
                 where[p].add(i)
+                changed.add(p)
+        for p in changed:
+            if pairs[p] > 0:
+                heapq.heappush(heap, (-pairs[p], p))
+            else:
+                del pairs[p], where[p]
     return out
 
 
+def learn_in_rounds(counts: DataFrame, merges: int, least: int = 2, top: int = 2_000) -> list[tuple[str, str]]:
+    """The merges of ``learn_from`` with the words in a Spark table. A round counts all pairs and joins as many of the
+    most frequent as no other can come before: a pair made by joining (a, b) is at most as frequent as the pairs that end
+    with a or begin with b, so the round goes on while the next pair is more frequent than all of those."""
+    spark = counts.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir") or "file://" + tempfile.mkdtemp(prefix="lexmill-")
+    path = f"{folder.rstrip('/')}/bpe-{uuid.uuid4().hex}"
+    split = F.split("word", "")
+    last = F.concat(F.element_at(split, -1), F.lit(END))
+    table = counts.where("word <> ''").select(F.concat(F.slice(split, 1, F.size(split) - 1), F.array(last)).alias("s"), "freq")
+    out: list[tuple[str, str]] = []
+    round_no = 0
+    while len(out) < merges:
+        table.write.parquet(f"{path}/round-{round_no}")
+        if round_no > 1:
+            _remove(spark, f"{path}/round-{round_no - 2}")
+        table = spark.read.parquet(f"{path}/round-{round_no}")
+        round_no += 1
+        each = table.where(F.size("s") > 1).select("freq", F.explode(F.arrays_zip(F.slice("s", 1, F.size("s") - 1).alias("a"), F.slice("s", 2, F.size("s") - 1).alias("b"))).alias("p"))
+        ranked = each.groupBy("p.a", "p.b").agg(F.sum("freq").alias("n")).where(F.col("n") >= least).orderBy(F.desc("n"), "a", "b").limit(top).collect()
+        batch = next_merges([((r["a"], r["b"]), r["n"]) for r in ranked], len(ranked) < top, {x + y for x, y in out})[: merges - len(out)]
+        if not batch:
+            break
+        out += batch
+        table = table.select(_joined(batch)("s").alias("s"), "freq")
+    _remove(spark, path)
+    return out
+
+
+def _joined(batch: list[tuple[str, str]]):
+    @F.pandas_udf("array<string>")
+    def run(lines: pd.Series) -> pd.Series:
+        return lines.map(lambda s: reduce(lambda x, p: merged(x, p) if len(x) > 1 and p[0] in x else x, batch, list(s)))
+
+    return run
+
+
+def next_merges(ranked: list[tuple[tuple[str, str], int]], whole: bool, made: set[str]) -> list[tuple[str, str]]:
+    """The leading pairs that are merged next, in this order, whatever the merges before them make. ``ranked`` is ordered;
+    if it isn't the ``whole`` list, pairs as rare as its last are left to the next round. A pair that makes a symbol there is
+    already (``made``, or a last character) ends the round: pairs of that symbol become more frequent."""
+    starts: dict[str, int] = {}
+    ends: dict[str, int] = {}
+    for (a, b), n in ranked:
+        starts[a], ends[b] = max(n, starts.get(a, 0)), max(n, ends.get(b, 0))
+    out: list[tuple[str, str]] = []
+    bound = 0 if whole or not ranked else ranked[-1][1]
+    for (a, b), n in ranked:
+        if out and n <= bound:
+            break
+        out.append((a, b))
+        if a + b in made or ((a + b).endswith(END) and len(a + b) == 1 + len(END)):
+            break
+        made = made | {a + b}
+        bound = max(bound, ends.get(a, 0), starts.get(b, 0))
+    return out
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def merged(symbols: list[str], pair: tuple[str, str]) -> list[str]:
     """Every occurrence of the pair joined, from the left."""
     out: list[str] = []

@@ -205,7 +205,7 @@ ORACLES["replace_after"] = f"WITH {LINES_SQL}, own AS (SELECT doc_id, line_no, {
 
 
 def _bpe_learn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    codes = subword.learn(all_lines(spark, sf_dir), merges=50)
+    codes = subword.learn(all_lines(spark, sf_dir))
     return spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(codes)], "rank int, left string, right string")
 
 

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import pytest
 
 from lexmill import queries
+from lexmill.operators import subword
 
 
 @pytest.fixture(scope="module")
@@ -112,3 +113,51 @@ def test_insert_line_into_all_lines(spark, folder):
     got = sorted((r["line_no"], r["value"]) for r in queries.QUERIES["insert_line_whole"](spark, folder).collect())
     lines = [*queries.SAMPLES, "x", "", "y", "b", "a", "b"]
     assert got == list(enumerate([*lines[:2], "_PAD", *lines[2:]], 1))
+
+
+def plain_merges(counts, merges, least):
+    """Counts all pairs again after every merge."""
+    words = {w: [*w[:-1], w[-1] + subword.END] for w in counts if w}
+    out = []
+    while len(out) < merges:
+        pairs = Counter()
+        for w, s in words.items():
+            for p in zip(s, s[1:]):
+                pairs[p] += counts[w]
+        best = min(pairs, key=lambda p: (-pairs[p], p), default=None)
+        if best is None or pairs[best] < least:
+            break
+        out.append(best)
+        words = {w: subword.merged(s, best) for w, s in words.items()}
+    return out
+
+
+@pytest.mark.parametrize("top", [4, 2_000])
+def test_bpe_learns_from_every_word(spark, top, monkeypatch):
+    rng = random.Random(2)
+    text = ["".join(rng.choices("aaabcdé猫", k=rng.randint(1, 7))) for _ in range(150)]
+    lines = spark.createDataFrame([(" ".join(rng.choices(text, k=20)),) for _ in range(30)], "value string")
+    counts = Counter(w for r in lines.collect() for w in r["value"].split())
+    want = plain_merges(counts, 40, 2)
+    monkeypatch.setattr(subword, "learn_in_rounds", lambda *a, f=subword.learn_in_rounds: f(*a, top))
+    assert subword.learn(lines, 40) == want
+    assert subword.learn(lines, 40, max_words=10) == want
+    for seed in range(20):  # batches, without Spark
+        rng = random.Random(seed)
+        counts = {"".join(rng.choices("abc", k=rng.randint(1, 8))): rng.randint(1, 4) for _ in range(25)}
+        assert subword.learn_from(counts, 10_000, 2) == plain_merges(counts, 10_000, 2) == in_batches(counts)
+
+
+def in_batches(counts):
+    words, out = {w: [*w[:-1], w[-1] + subword.END] for w in counts if w}, []
+    while True:
+        pairs = Counter()
+        for w, s in words.items():
+            for p in zip(s, s[1:]):
+                pairs[p] += counts[w]
+        ranked = sorted(((p, n) for p, n in pairs.items() if n >= 2), key=lambda x: (-x[1], x[0]))
+        if not (batch := subword.next_merges(ranked, True, {a + b for a, b in out})):
+            return out
+        for p in batch:
+            words = {w: subword.merged(s, p) for w, s in words.items()}
+        out += batch
