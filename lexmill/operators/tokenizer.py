@@ -17,16 +17,9 @@ from pyspark.sql import functions as F
 
 from lexmill.functions import patterns
 from lexmill.functions.regex import java, let, strip, tokens
+from lexmill.operators.abbreviations import NONBREAKING, NUMERIC_ONLY
 from lexmill.operators.lines import Line, rule
 
-# Abbreviations after which a final period is no sentence end, and those that hold only before a number.
-NONBREAKING = {
-    "en": (
-        "A B C D E F G H I J K L M N O P Q R S T U V W X Y Z Adj Adm Adv Asst Bart Bldg Brig Bros Capt Cmdr Col Comdr Con Corp Cpl DR Dr Drs Ens Gen Gov Hon Hr Hosp Insp Lt MM MR MRS MS Maj Messrs Mlle Mme Mr Mrs Ms Msgr Op Ord "
-        "Pfc Ph Prof Pvt Rep Reps Res Rev Rt Sen Sens Sfc Sgt Sr St Supt Surg v vs i.e rev e.g Nos Nr Jan Feb Mar Apr Jun Jul Aug Sep Oct Nov Dec"
-    ).split(),
-}
-NUMERIC_ONLY = {"en": ["No", "Art", "pp"]}
 ESCAPES = [("&", "&amp;"), ("|", "&#124;"), ("<", "&lt;"), (">", "&gt;"), ("'", "&apos;"), ('"', "&quot;"), ("[", "&#91;"), ("]", "&#93;")]
 UNESCAPES = [("&bar;", "|"), ("&#124;", "|"), ("&lt;", "<"), ("&gt;", ">"), ("&bra;", "["), ("&ket;", "]"), ("&quot;", '"'), ("&apos;", "'"), ("&#91;", "["), ("&#93;", "]"), ("&amp;", "&")]
 

@@ -6,9 +6,10 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from lexmill import queries
-from lexmill.operators import subword
+from lexmill.operators import subword, tokenizer
 
 
 @pytest.fixture(scope="module")
@@ -161,3 +162,17 @@ def in_batches(counts):
         for p in batch:
             words = {w: subword.merged(s, p) for w, s in words.items()}
         out += batch
+
+
+@pytest.mark.parametrize("lang, line, want", [
+    ("fr", "Le boul. Voltaire, chap. Deux, ann. Trois et Messrs. Dupont.", "Le boul. Voltaire , chap. Deux , ann. Trois et Messrs . Dupont ."),
+    ("de", "Am 3. Mai evtl. Zwei, usw. Drei und Jul. Meier.", "Am 3. Mai evtl. Zwei , usw. Drei und Jul . Meier ."),
+    ("pl", "Zob. nr. 5 oraz nr. Osiem i Messrs. Nowak.", "Zob. nr. 5 oraz nr . Osiem i Messrs . Nowak ."),
+    ("en", "See Messrs. Smith and boul. Voltaire, No. 5.", "See Messrs. Smith and boul . Voltaire , No. 5 ."),
+])
+def test_abbreviations_of_the_language(spark, lang, line, want):
+    assert spark.createDataFrame([(line,)], "v string").select(tokenizer.tokenize(F.col("v"), lang)).first()[0] == want
+
+
+def test_all_abbreviation_lists():
+    assert set(tokenizer.NONBREAKING) == set("ca cs de el en es fi fr hu is it lv nl pl pt ro ru sk sl sv ta".split())
