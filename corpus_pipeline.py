@@ -1,7 +1,7 @@
 """Documents to packed training sequences: quality, language, near duplicates, benchmark passages, packing.
 
 Every stage takes all documents the one before kept; stages that filter return the columns of ``documents`` unchanged.
-A stage that only judges a text by itself filters rows where they lie; the others drop documents by id.
+A stage that only judges a text by itself filters rows where they lie, whatever their ids; near_duplicates drops by id.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark passage go."""
-    return without(docs, decontamination.contaminated(docs, table(spark, sf_dir, "benchmark")))
+    return decontamination.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

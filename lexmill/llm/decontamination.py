@@ -24,11 +24,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lexmill.llm._common import texts
+from lexmill.llm._common import keep_rows, texts
 
 #: The longest window.
 SPAN = 10
@@ -130,41 +131,67 @@ def widest_stretch(same: np.ndarray) -> tuple[int, int]:
     return int(m[end] - m[start[end]]), int(end - start[end])
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, *, least: int = 13, shortest: int = 5, cost: int = 4, block_words: int = 500_000) -> DataFrame:
-    """doc_id, item_id, matched_words, overlap_words: one row for each document and item found in it."""
-    spark = docs.sparkSession
-    kind, item_kind = dict(docs.dtypes)["doc_id"], dict(benchmark.dtypes)["item_id"]
+def found(ix: Index, rows: list[str], known: dict, least: int, cost: int) -> dict[tuple[int, int], tuple[int, int]]:
+    """(row, item) -> matches and length, for each row and item found in it."""
+    words = [word_hashes(t, known) for t in rows]
+    first = np.concatenate([[0], np.cumsum([len(w) for w in words])])
+    flat = np.concatenate(words)
+    best: dict[tuple[int, int], tuple[int, int]] = {}
+    for d, i, diagonal in ix.hits(flat, np.repeat(np.arange(len(words)), np.diff(first))).tolist():
+        item = ix.words[i]
+        at = diagonal - first[d]
+        s, e = max(0, -at), min(len(item), len(words[d]) - at)
+        same = item[s:e] == words[d][at + s : at + e]
+        enough = min(least, -(-4 * len(item) // 5))
+        if same.sum() < enough:
+            continue
+        got = best_stretch(same, cost)
+        if got[0] < enough:
+            got = widest_stretch(same)
+        if got[0] >= enough:
+            best[d, i] = max(best.get((d, i), (0, 0)), got)
+    return best
+
+
+def blocks_of(benchmark: DataFrame, shortest: int, block_words: int) -> Iterator[Broadcast]:
+    """The broadcast index of each block of the benchmark."""
+    spark = benchmark.sparkSession
     items = benchmark.where(F.col("text").isNotNull()).select("item_id", "text").distinct()
     size = F.size(F.split("text", r"\s+"))
     by_block = items.select("item_id", "text", F.floor((F.sum(size).over(Window.orderBy("item_id", F.md5("text"))) - 1) / block_words).alias("block"))
-    blocks = sorted(r["block"] for r in by_block.select("block").distinct().collect())
-    parts = []
-    for block in blocks:
+    for block in sorted(r["block"] for r in by_block.select("block").distinct().collect()):
         own = [(r["item_id"], r["text"]) for r in by_block.where(F.col("block") == block).select("item_id", "text").collect()]
-        index = spark.sparkContext.broadcast(Index(sorted(own, key=lambda r: (r[0] is None, r)), shortest))
+        yield spark.sparkContext.broadcast(Index(sorted(own, key=lambda r: (r[0] is None, r)), shortest))
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, *, least: int = 13, shortest: int = 5, cost: int = 4, block_words: int = 500_000) -> DataFrame:
+    """Rows of ``docs`` that hold no item, all columns as they are; each row is judged by its own text, whatever its id."""
+    for index in blocks_of(benchmark, shortest, block_words):
+
+        def test(rows: list[str], index=index) -> list[bool]:
+            ix, known, keep = index.value, _Hashes(), []
+            for lo in range(0, len(rows), 500):
+                part = rows[lo : lo + 500]
+                out = {d for d, _ in found(ix, part, known, least, cost)}
+                keep += [i not in out for i in range(len(part))]
+            return keep
+
+        docs = keep_rows(docs, test)
+    return docs
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, *, least: int = 13, shortest: int = 5, cost: int = 4, block_words: int = 500_000) -> DataFrame:
+    """doc_id, item_id, matched_words, overlap_words: one row for each document and item found in it."""
+    kind, item_kind = dict(docs.dtypes)["doc_id"], dict(benchmark.dtypes)["item_id"]
+    parts = []
+    for index in blocks_of(benchmark, shortest, block_words):
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             ix, known = index.value, _Hashes()
             for b in batches:
                 for lo in range(0, b.num_rows, 500):
                     c = b.slice(lo, 500)
-                    words = [word_hashes(t, known) for t in texts(c.column("text"))]
-                    first = np.concatenate([[0], np.cumsum([len(w) for w in words])])
-                    flat = np.concatenate(words)
-                    best: dict[tuple[int, int], tuple[int, int]] = {}
-                    for d, i, diagonal in ix.hits(flat, np.repeat(np.arange(len(words)), np.diff(first))).tolist():
-                        item = ix.words[i]
-                        at = diagonal - first[d]
-                        s, e = max(0, -at), min(len(item), len(words[d]) - at)
-                        same = item[s:e] == words[d][at + s : at + e]
-                        enough = min(least, -(-4 * len(item) // 5))
-                        if same.sum() < enough:
-                            continue
-                        got = best_stretch(same, cost)
-                        if got[0] < enough:
-                            got = widest_stretch(same)
-                        if got[0] >= enough:
-                            best[d, i] = max(best.get((d, i), (0, 0)), got)
+                    best = found(ix, texts(c.column("text")), known, least, cost)
                     if best:
                         at = list(best)
                         yield pa.RecordBatch.from_arrays(
