@@ -48,7 +48,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [("quality", quality), ("language", language), ("near_duplicates", near_duplicates), ("decontaminate", decontaminate), ("pack", pack)]
 
-#: SQL expresses neither the classifiers nor the tokenizer; tests/llm holds the stages against brute force.
+#: SQL expresses neither the classifiers nor the tokenizer; tests/llm/test_pipeline.py holds the stages against plain Python.
 ORACLE_SQL = None
 
 

@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 
 import corpus_pipeline
+from lexmill.llm import langid, quality_gbdt
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -37,3 +38,33 @@ def test_decontaminate_null_and_repeated_ids(spark, folder):
     kept = corpus_pipeline.decontaminate(spark, docs, d)
     assert kept.columns == docs.columns
     assert rows_of(kept) == Counter({k: n for k, n in rows_of(docs).items() if passage not in (k[1] or "")})
+
+
+def test_judging_stages(spark, folder):
+    d, _ = folder
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    model, names = quality_gbdt.fit(docs, spark.read.parquet(f"{d}/labels.parquet")), langid.fit(docs)
+    good = lambda t: model.score(quality_gbdt.matrix([t or ""]))[0] >= 0.7
+    named = lambda t: (p := names.predict(t or ""))[0] != "und" and p[1] >= 0.4
+    for stage, test in ((corpus_pipeline.quality, good), (corpus_pipeline.language, named)):
+        want = Counter({k: n for k, n in rows_of(docs).items() if test(k[1])})
+        assert rows_of(stage(spark, docs, d)) == want and 0 < sum(want.values()) < docs.count()
+
+
+def test_near_duplicates(spark, folder):
+    d, passage = folder
+    docs = spark.read.parquet(f"{d}/documents.parquet").where("doc_id is null or doc_id % 3 > 0 or doc_id > 200").where("doc_id is null or doc_id < 205")
+    got = rows_of(corpus_pipeline.near_duplicates(spark, docs, d))
+    assert got == Counter({k: n for k, n in rows_of(docs).items() if k[0] not in (200, 201)})
+
+
+def test_whole_run(spark, folder):
+    d, passage = folder
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, d).localCheckpoint()
+    assert docs.count() > 0 and not any(passage in t for _, t in rows_of(docs))
+    want = corpus_pipeline.pack(spark, docs, d)
+    got = corpus_pipeline.run(spark, d)
+    assert got.columns == want.columns and got.count() > 0
+    assert {r["doc_id"] for r in got.collect()} == {r["doc_id"] for r in want.collect()} == {i for i, _ in rows_of(docs)}
