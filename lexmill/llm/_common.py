@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 import numpy as np
 import pyarrow as pa
@@ -14,13 +15,17 @@ from pyspark.sql import functions as F
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 _own: dict[str, str] = {}
+_paths: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared scratch folder; a temporary one only where the session names none (tests, local mode)."""
+    """The cluster's shared scratch folder; a temporary one only where the session names none and one machine is all
+    there is (tests, local mode)."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own:
         _own[app] = "file://" + tempfile.mkdtemp(prefix="lexmill-")
@@ -33,7 +38,18 @@ def materialise(df: DataFrame, label: str, **options: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/lexmill/{label}-{uuid.uuid4().hex}"
     df.write.options(**{"compression": "zstd", **options}).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _paths[out] = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``materialise`` has written, once no plan reads them any more; others are left alone."""
+    for t in tables:
+        if path := _paths.pop(t, None):
+            jvm = t.sparkSession._jvm
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(t.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(at, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

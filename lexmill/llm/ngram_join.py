@@ -4,16 +4,18 @@ A document is its set of word shingles, a node is a distinct set (equal sets are
 
 1. Shingles common in a bounded sample are ordered last, the others by their hash. Any order gives exact results; this
    one keeps common passages out of the prefixes.
-2. Two sets that link share a shingle in their prefixes. Prefixes are dealt by shingle as packed arrays, so an index list
-   is a run of one array, ordered by set size: for each entry the run is left as soon as sizes differ too much (the rest
-   of the block is skipped), and an entry is skipped whose positions leave too few shingles for the overlap needed.
-   Lists longer than ``all_pairs`` give only each entry's neighbour and its block's first entry.
+2. Two sets that link share a shingle in their prefixes. Prefixes are dealt by shingle as packed arrays, the list of a
+   very common shingle in parts. An index list is a run of one array by set size and position: an entry's own position
+   bounds the sizes it can link with, and of each block of one size only the entries up to a largest position are looked
+   at (``block_skip``). Lists longer than ``all_pairs`` give only each entry's neighbour and its leader, the entry of its
+   size band with the smallest position.
 3. A parity bitmap of each set bounds the overlap of a pair from above; pairs under the bound go.
-4. Every node is verified against one partner, then, a few times, against one or two more from other groups: next
-   to it in a long list or from its pairs. Verified pairs form groups of highly similar sets with known overlaps.
-5. Pairs inside a group need no more work. For a pair (a, b) across groups, b is verified against a's partner p, and from
-   |p & b|, |a & p| and the sizes both bounds of |a & b| follow; only pairs that the bounds leave open are verified.
-   Long lists are entered again only where they still hold several groups.
+4. Every node is verified against its leader or one candidate, then, a few times, against one or two more of other
+   groups. Verified pairs form groups of highly similar sets with known overlaps.
+5. Pairs inside a group need no more work. Long lists are read again, once, where they still hold several groups: a
+   list's largest group only meets the rest, and block-skip leaves few of those pairs. For a pair (a, b) across groups, b
+   is verified against a's partner p, and from |p & b|, |a & p| and the sizes both bounds of |a & b| follow; only pairs
+   that the bounds leave open are verified.
 6. Components of all links.
 
 Cases: without a word a document has size 0 and is its own component; with fewer words than a shingle the whole sequence
@@ -24,6 +26,7 @@ may err with a probability of about 1e-9 for each pair of texts.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,9 +34,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from lexmill.llm._common import blobs, materialise, slices, texts, words_of
+from lexmill.llm._common import blobs, discard, materialise, slices, texts, words_of
 from lexmill.llm.components import components
 
 _ODD = np.array([(i * 2 + 3) * 0x9E3779B97F4A7C15 % (1 << 64) | 1 for i in range(64)], np.uint64)
@@ -82,14 +84,20 @@ def needed(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
 
 
 class Common:
-    """Shingles that are ordered last, rarer ones first."""
+    """Shingles that are ordered last, rarer ones first; and in how many parts each one's list is dealt."""
 
-    def __init__(self, keys: np.ndarray, count: np.ndarray):
+    def __init__(self, keys: np.ndarray, count: np.ndarray, per_part: float = math.inf):
         by = np.lexsort((keys, count))
         rank = np.empty(len(keys), np.int64)
         rank[by] = np.arange(len(keys))
         order = np.argsort(keys)
-        self.keys, self.rank = keys[order], rank[order]
+        self.keys, self.rank, self.parts = keys[order], rank[order], np.ceil(count[order] / per_part).astype(np.int64)
+
+    def parts_of(self, s: np.ndarray) -> np.ndarray:
+        if not len(self.keys) or self.parts.max() < 2:
+            return np.ones(len(s), np.int64)
+        at = np.minimum(np.searchsorted(self.keys, s), len(self.keys) - 1)
+        return np.where(self.keys[at] == s, np.maximum(self.parts[at], 1), 1)
 
     def prefix(self, s: np.ndarray, p: int) -> np.ndarray:
         if not len(self.keys):
@@ -118,9 +126,11 @@ def parity_bound(a: bytes, b: bytes, size_a: int, size_b: int) -> int:
     return (size_a + size_b - int(np.bitwise_count(x ^ y).sum())) // 2
 
 
-def common_shingles(docs: DataFrame, k: int, rows: int, sample: int, least: int) -> Common:
-    """Shingles of at least ``least`` different sets among about ``sample`` documents drawn by a hash of the id."""
-    drawn = docs.where(F.pmod(F.xxhash64("doc_id", F.lit("order")), F.lit(1 << 30)) < int(min(1.0, sample / max(rows, 1)) * (1 << 30))).select("text")
+def common_shingles(docs: DataFrame, k: int, rows: int, sample: int, least: int, part_rows: int) -> Common:
+    """Shingles of at least ``least`` different sets among about ``sample`` documents drawn by a hash of the id. A list
+    expected to exceed ``part_rows`` entries is dealt in parts."""
+    share = min(1.0, sample / max(rows, 1))
+    drawn = docs.where(F.pmod(F.xxhash64("doc_id", F.lit("order")), F.lit(1 << 30)) < int(share * (1 << 30))).select("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, seen, held = WordHashes(), set(), []
@@ -141,7 +151,7 @@ def common_shingles(docs: DataFrame, k: int, rows: int, sample: int, least: int)
         return pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n.astype(np.int64))], ["key", "n"])
 
     got = drawn.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).toPandas()
-    return Common(got["key"].to_numpy(np.int64).view(np.uint64), got["n"].to_numpy(np.int64))
+    return Common(got["key"].to_numpy(np.int64).view(np.uint64), got["n"].to_numpy(np.int64), part_rows * share)
 
 
 def postings(docs: DataFrame, common, k: int, percent: int, buckets: int, flush: int = 300_000) -> DataFrame:
@@ -177,7 +187,8 @@ def postings(docs: DataFrame, common, k: int, percent: int, buckets: int, flush:
         sh = np.concatenate(held)
         doc = np.repeat(np.arange(len(held)), n)
         at = np.minimum(np.arange(len(sh)) - np.repeat(np.cumsum(n) - n, n), 65_535)
-        bucket = ((sh * _MIX) >> np.uint64(33)).astype(np.int64) % buckets
+        part = np.array(nodes, np.int64)[doc] % common.value.parts_of(sh)
+        bucket = (((sh * _MIX) >> np.uint64(33)).astype(np.int64) + part * 40_503) % buckets
         by = np.lexsort((sh, bucket))
         cuts = np.searchsorted(bucket[by], np.arange(buckets + 1))
         node_a, size_a, first_a = np.array(nodes, np.int64), np.array(sizes, np.uint32), np.array([p[0] for p in held], np.uint64)
@@ -197,7 +208,8 @@ PACKED = ["sh", "doc", "at", "nodes", "sizes", "firsts"]
 
 
 def read_lists(table: pa.Table) -> tuple[np.ndarray, ...]:
-    """Shingle, node, size, position, first shingle of a bucket's entries, by shingle, then size; each node once in a list."""
+    """Shingle, node, size, position, first shingle of a bucket's entries, by shingle, size and position; each node once in
+    a list."""
     sh, node, size, at, first = [], [], [], [], []
     for s, d, a, n, z, f in zip(*(table.column(c).to_pylist() for c in PACKED)):
         doc = np.frombuffer(d, np.uint16)
@@ -212,102 +224,169 @@ def read_lists(table: pa.Table) -> tuple[np.ndarray, ...]:
     twice = np.concatenate([[False], sh[1:] == sh[:-1]])
     some = twice | np.concatenate([twice[1:], [False]])  # lists of one entry go at once
     order, sh = order[some], sh[some]
-    by = np.lexsort((node[order], size[order], sh))
+    by = np.lexsort((node[order], at[order], size[order], sh))
     order, sh = order[by], sh[by]
     node, size, at, first = node[order], size[order], at[order], first[order]
-    new = np.concatenate([[True], (sh[1:] != sh[:-1]) | (node[1:] != node[:-1])]) if len(sh) else np.zeros(0, bool)
+    new = runs_of(sh, node)  # the same set has the same size and position
     return sh[new], node[new], size[new], at[new], first[new]
 
 
-def pairs_of_lists(sh: np.ndarray, node: np.ndarray, size: np.ndarray, at: np.ndarray, percent: int, all_pairs: int, first: np.ndarray, own: np.ndarray, label: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Candidate pairs (smaller set, larger set), each once, and which entries stand in lists longer than ``all_pairs``.
-    With labels, pairs of equal labels are left out. A pair whose sets start with the same shingle is left to the list of
-    that shingle, which is certain to hold both (``own``: this is the list of the entry's first shingle)."""
-    if not len(sh):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
-    starts = np.flatnonzero(np.concatenate([[True], sh[1:] != sh[:-1]]))
-    n = np.diff(np.append(starts, len(sh)))
-    end = np.repeat(starts + n, n)
-    long = np.repeat(n > all_pairs, n)
-    left, right, waiting = [], [], 0
-
-    def fold_up() -> None:
-        a, b = np.concatenate(left), np.concatenate(right)
-        by = np.lexsort((b, a))
-        a, b = a[by], b[by]
-        new = np.concatenate([[True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
-        left[:], right[:] = [a[new]], [b[new]]
-
-    active = np.flatnonzero(~long)
-    d = 1
-    while len(active):
-        active = active[active + d < end[active]]
-        active = active[size[active] * 100 >= percent * size[active + d]]  # sizes rise: the rest of the block is skipped
-        j = active + d
-        need = needed(size[active], size[j], percent)
-        ok = np.minimum(size[active] - at[active], size[j] - at[j]) >= need
-        if label is not None:
-            ok &= label[active] != label[j]
-        ok &= (first[active] != first[j]) | (own[active] & own[j])
-        left.append(node[active[ok]])
-        right.append(node[j[ok]])
-        waiting += int(ok.sum())
-        if waiting > 1_000_000:
-            fold_up()
-            waiting = 0
-        d += 1
-    if long.any():
-        i = np.flatnonzero(long)
-        prev = i[np.concatenate([[False], sh[i][1:] == sh[i][:-1]])]
-        prev = prev[size[prev - 1] * 100 >= percent * size[prev]]
-        prev = prev[(first[prev] != first[prev - 1]) | (own[prev] & own[prev - 1])]
-        left.append(node[prev - 1])
-        right.append(node[prev])
-        for s in starts[n > all_pairs]:
-            e = end[s]
-            head = s + np.searchsorted(size[s:e] * 100, percent * size[s:e])  # the first entry of each entry's block
-            me = np.arange(s, e)
-            take = (head < me) & ((first[head] != first[me]) | (own[head] & own[me]))
-            left.append(node[head[take]])
-            right.append(node[me[take]])
-    left, right = left or [np.zeros(0, np.int64)], right or [np.zeros(0, np.int64)]
-    fold_up() if sum(map(len, left)) else None
-    return np.concatenate(left), np.concatenate(right), long
-
-
-def merged_lists(sh: np.ndarray, node: np.ndarray, size: np.ndarray, at: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Lists with the same first entry as one, named by a shingle of theirs. An entry keeps its smallest position, so the
-    position test only gets weaker: a merged list has all pairs of its lists. The lists of a group of similar sets mostly
-    start alike, so the group is entered once or twice a bucket instead of once a shingle."""
-    own = sh == first
-    if not len(sh):
-        return sh.view(np.int64), node, size, at, first.view(np.int64), own
-    starts = np.flatnonzero(np.concatenate([[True], sh[1:] != sh[:-1]]))
-    n = np.diff(np.append(starts, len(sh)))
-    _, head, which = np.unique(node[starts], return_index=True, return_inverse=True)
-    name = np.repeat(sh[starts][head][which], n)
-    by = np.lexsort((at, node, name))
-    name, node, size, at, first, own = name[by], node[by], size[by], at[by], first[by], own[by]
-    new = np.concatenate([[True], (name[1:] != name[:-1]) | (node[1:] != node[:-1])])
-    own = np.maximum.reduceat(own, np.flatnonzero(new))
-    return name[new].view(np.int64), node[new], size[new], at[new], first[new].view(np.int64), own
-
-
-def candidates(post: DataFrame, percent: int, all_pairs: int) -> DataFrame:
-    """kind 0: x, y are the nodes of a candidate pair. kind 1: an entry of a long list; x names the list, y is the node."""
+def runs_of(*keys: np.ndarray) -> np.ndarray:
+    """Where runs of equal keys start."""
+    if not len(keys[0]):
+        return np.zeros(0, np.int64)
+    return np.flatnonzero(np.concatenate([[True], np.any([k[1:] != k[:-1] for k in keys], axis=0)]))
+
+
+def expanded(lo: np.ndarray, n: np.ndarray, at_once: int = 2_000_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(i, lo[i] + 0 .. n[i] - 1) for every i, in parts of about ``at_once``."""
+    ends = np.cumsum(n)
+    i = 0
+    while i < len(n):
+        j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + at_once, "right")))
+        m = n[i:j]
+        who = np.repeat(np.arange(i, j), m)
+        yield who, np.repeat(lo[i:j] - np.cumsum(m) + m, m) + np.arange(len(who))
+        i = j
+
+
+def block_skip(run_a: np.ndarray, size_a: np.ndarray, at_a: np.ndarray, run_b: np.ndarray, size_b: np.ndarray, at_b: np.ndarray, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs (into a, into b) of entries of one list that may link by their sizes and positions.
+
+    b stands by list, size and position, so a list is a row of blocks of one size. An entry's own position bounds the
+    sizes it can link with, which leaves a range of blocks; in each block the entries are taken up to the largest position
+    that leaves enough shingles, and the rest of the block is never looked at. The work is a step for each entry and block
+    in range, and one for each pair given."""
+    if not len(run_a) or not len(run_b):
+        return
+    start = runs_of(run_b, size_b)
+    block = run_b[start] << 32 | size_b[start]
+    place = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(run_b)))) << 17 | at_b
+    least = -(-percent * size_a // 100)
+    most = (100 + percent) * (size_a - at_a) // percent - size_a
+    lo = np.searchsorted(block, run_a << 32 | least)
+    hi = np.searchsorted(block, run_a << 32 | np.maximum(most, 0), "right")
+    for who, blk in expanded(lo, np.maximum(hi - lo, 0)):
+        z = size_b[start[blk]]
+        last = z - needed(size_a[who], z, percent)
+        n = np.searchsorted(place, blk << 17 | np.clip(last, 0, (1 << 17) - 1), "right") - start[blk]
+        n[last < 0] = 0
+        for i, j in expanded(start[blk], n):
+            yield who[i], j
+
+
+class Pairs:
+    """Collects pairs of nodes, the smaller id first, each once."""
+
+    def __init__(self, at_once: int = 2_000_000):
+        self.parts: list[np.ndarray] = []
+        self.waiting, self.at_once = 0, at_once
+
+    def add(self, a: np.ndarray, b: np.ndarray) -> None:
+        self.parts.append(np.stack([np.minimum(a, b), np.maximum(a, b)]))
+        self.waiting += len(a)
+        if self.waiting > self.at_once:
+            self.fold_up()
+
+    def fold_up(self) -> np.ndarray:
+        both = np.concatenate([np.zeros((2, 0), np.int64), *self.parts], axis=1)
+        both = both[:, np.lexsort(both)]
+        both = both[:, runs_of(*both)]
+        self.parts, self.waiting = [both], 0
+        return both
+
+
+def list_pairs(run: np.ndarray, node: np.ndarray, size: np.ndarray, at: np.ndarray, first: np.ndarray, own: np.ndarray, percent: int, out: Pairs) -> None:
+    """All pairs of the lists ``run`` that block-skip leaves. A pair whose sets start with the same shingle is left to the
+    list of that shingle, which is certain to hold both (``own``: this is the list of the entry's first shingle)."""
+    for i, j in block_skip(run, size, at, run, size, at, percent):
+        ok = (i < j) & ((first[i] != first[j]) | (own[i] & own[j]))
+        out.add(node[i[ok]], node[j[ok]])
+
+
+def leaders(run: np.ndarray, node: np.ndarray, size: np.ndarray, at: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each entry the index of the leader of its list and size band, and whether the two may link. The leader has
+    the smallest position: few shingles of its own, so it stands in the middle of a group of similar sets."""
+    band = np.floor(np.log(size) / np.log(100 / percent)).astype(np.int64)
+    by = np.lexsort((node, at, band, run))
+    start = runs_of(run[by], band[by])
+    lead = np.empty(len(run), np.int64)
+    lead[by] = np.repeat(by[start], np.diff(np.append(start, len(run))))
+    return lead, (np.minimum(size - at, size[lead] - at[lead]) >= needed(size, size[lead], percent)) & (node != node[lead])
+
+
+def across_labels(run: np.ndarray, node: np.ndarray, size: np.ndarray, at: np.ndarray, first: np.ndarray, own: np.ndarray, label: np.ndarray, major: np.ndarray, both: np.ndarray, percent: int, out: Pairs) -> None:
+    """Pairs of different labels in the lists ``run`` (by run, size, position) that block-skip leaves. The entries of a
+    list's commonest label only meet the others, and so on with the rest until no label holds an eighth of it: pairs
+    inside a group are not formed. ``major``: entries of the commonest label; ``both``: lists whose other entries also
+    meet each other here."""
+
+    def meet(i: np.ndarray, j: np.ndarray, once: bool) -> None:
+        for u, v in block_skip(run[i], size[i], at[i], run[j], size[j], at[j], percent):
+            u, v = i[u], j[v]
+            ok = (label[u] != label[v]) & ((first[u] != first[v]) | (own[u] & own[v]))
+            ok &= (u < v) | (not once)
+            out.add(node[u[ok]], node[v[ok]])
+
+    meet(np.flatnonzero(~major), np.flatnonzero(major), False)
+    rest = np.flatnonzero(~major & both)
+    while len(rest):
+        by = np.lexsort((label[rest], run[rest]))
+        start = runs_of(run[rest][by], label[rest][by])
+        n = np.diff(np.append(start, len(rest)))
+        of = run[rest][by][start]
+        top = np.lexsort((-n, of))
+        top = top[runs_of(of[top])]  # the commonest label of each list
+        total = np.add.reduceat(n, runs_of(of))
+        large = top[(n[top] > 1) & (8 * n[top] > total)]
+        if not len(large):
+            break
+        taken = np.zeros(len(rest), bool)
+        taken[by[next_of(start[large], n[large])]] = True
+        meet(rest[~taken], rest[taken], False)
+        rest = rest[~taken]
+    meet(rest, rest, True)
+
+
+def next_of(lo: np.ndarray, n: np.ndarray) -> np.ndarray:
+    return np.concatenate([np.zeros(0, np.int64), *(j for _, j in expanded(lo, n))])
+
+
+CANDIDATES = "kind int, x long, y long, size int, at int, first long, own boolean"
+
+
+def candidates(post: DataFrame, common, percent: int, all_pairs: int) -> DataFrame:
+    """kind 0: x, y are the nodes of a candidate pair, the smaller first. kind 1: an entry of a long list; x names the
+    list, y is the node. kind 2: x is the leader of y in a long list, ``at`` its position. kind 3: y leads a part of the
+    list x, which is dealt in parts."""
 
     def run(table: pa.Table) -> pa.Table:
         sh, node, size, at, first = read_lists(table)
-        a, b, long = pairs_of_lists(sh, node, size, at, percent, all_pairs, first, sh == first)
-        name, node, size, at, first, own = merged_lists(sh[long], node[long], size[long], at[long], first[long])
-        zero = np.zeros(len(a), np.int64)
-        return pa.table({
-            "kind": pa.array(np.concatenate([zero, np.ones(len(name), np.int64)]).astype(np.int32)), "x": pa.array(np.concatenate([a, name])), "y": pa.array(np.concatenate([b, node])),
-            "size": pa.array(np.concatenate([zero, size]).astype(np.int32)), "at": pa.array(np.concatenate([zero, at]).astype(np.int32)),
-            "first": pa.array(np.concatenate([zero, first])), "own": pa.array(np.concatenate([zero != 0, own])),
-        })
-
-    return post.groupBy("bucket").applyInArrow(run, "kind int, x long, y long, size int, at int, first long, own boolean")
+        own = sh == first
+        start = runs_of(sh)
+        n = np.diff(np.append(start, len(sh)))
+        dealt = common.value.parts_of(sh[start]) > 1 if len(sh) else np.zeros(0, bool)
+        long = np.repeat((n > all_pairs) | dealt, n)
+        run_no, dealt = np.repeat(np.arange(len(n)), n), np.repeat(dealt, n)
+        pairs = Pairs()
+        s, l = np.flatnonzero(~long), np.flatnonzero(long)
+        list_pairs(run_no[s], node[s], size[s], at[s], first[s], own[s], percent, pairs)
+        sh, node, size, at, first, own, run_no, dealt = (x[l] for x in (sh, node, size, at, first, own, run_no, dealt))
+        near = (run_no[1:] == run_no[:-1]) & (np.minimum(size[1:] - at[1:], size[:-1] - at[:-1]) >= needed(size[1:], size[:-1], percent))
+        pairs.add(node[:-1][near], node[1:][near])
+        lead, ok = leaders(run_no, node, size, at, percent)
+        a, b = pairs.fold_up()
+        led = np.stack([node[lead[ok]], node[ok], at[lead[ok]]])
+        led = led[:, np.lexsort(led)]
+        led = led[:, runs_of(*led)]
+        heads = np.flatnonzero(dealt & (lead == np.arange(len(lead))))
+        zero = lambda n: np.zeros(n, np.int64)
+        rows = [(a, b, zero(len(a)), zero(len(a)), zero(len(a)), zero(len(a))), (sh.view(np.int64), node, size, at, first.view(np.int64), own), (*led[:2], zero(len(led[0])), led[2], zero(len(led[0])), zero(len(led[0]))), (sh.view(np.int64)[heads], node[heads], size[heads], at[heads], zero(len(heads)), zero(len(heads)))]
+        kind = np.repeat(np.arange(4), [len(r[0]) for r in rows])
+        x, y, size, at, first, own = (np.concatenate(c) for c in zip(*rows))
+        return pa.table({"kind": pa.array(kind.astype(np.int32)), "x": pa.array(x), "y": pa.array(y), "size": pa.array(size.astype(np.int32)), "at": pa.array(at.astype(np.int32)), "first": pa.array(first), "own": pa.array(own.astype(bool))})
+
+    return post.groupBy("bucket").applyInArrow(run, CANDIDATES)
 
 
 def nodes(docs: DataFrame, k: int, wanted, bits: int) -> DataFrame:
@@ -394,60 +473,89 @@ def links_of(over: DataFrame, percent: int) -> DataFrame:
     return over.where(F.col("both") * 100 >= (F.col("size_a") + F.col("size_b") - F.col("both")) * percent)
 
 
-def join(docs: DataFrame, *, k: int = 5, percent: int = 75, sample: int = 20_000, least: int = 4, all_pairs: int = 24, rounds: int = 4, bucket_postings: int = 1_500_000, in_one_task: int = 300_000) -> DataFrame:
+def dealt(runs: DataFrame, part_rows: int) -> DataFrame:
+    """The entries (sh, b, size, at, first, own, label) of lists that hold several labels, dealt in cells that one task
+    can hold: the commonest label's entries (``major``) in parts, each part with all others of its list, and the others,
+    where they are too many, in parts of which every two meet in a cell. An entry is repeated only as often as its list
+    has parts of ``part_rows``. ``both``: the others of the cell also meet each other."""
+    by = runs.groupBy("sh", "label").agg(F.count("*").alias("n")).groupBy("sh").agg(F.max_by("label", F.struct("n", "label")).alias("common"), F.sum("n").alias("n"), F.max("n").alias("most"))
+    by = by.where("most < n").select("sh", "common", F.ceil(F.col("most") / part_rows).alias("majors"), F.ceil((F.col("n") - F.col("most")) / part_rows).alias("rests"))
+    both = runs.join(by, "sh").withColumn("major", F.col("label") == F.col("common"))
+    one = F.col("majors") + F.col("rests") == 2
+    mine = F.pmod(F.xxhash64("b"), F.col("rests"))
+    cell = lambda i, own: F.struct(i.cast("long").alias("cell"), own.alias("both"))
+    with_majors = F.transform(F.sequence(F.lit(0).cast("long"), F.col("majors") - 1), lambda g: cell(g, one))
+    among = F.transform(F.sequence(F.lit(0).cast("long"), F.col("rests") - 1), lambda j: cell(-1 - F.least(mine, j) * F.col("rests") - F.greatest(mine, j), F.lit(True)))
+    cells = F.when(F.col("major"), F.array(cell(F.pmod(F.xxhash64("b"), F.col("majors")), one))).when(one, with_majors).otherwise(F.concat(with_majors, among))
+    return both.select("sh", "b", "size", "at", "first", "own", "label", "major", F.explode(cells).alias("c")).select("*", "c.cell", "c.both").drop("c")
+
+
+def pairs_across(runs: DataFrame, percent: int, part_rows: int, rows: int) -> DataFrame:
+    """(a, b): pairs of different labels that long lists hold."""
+
+    def run(t: pa.Table) -> pa.Table:
+        sh, cell, node, size, at, first, label = (t.column(c).to_numpy().astype(np.int64) for c in ("sh", "cell", "b", "size", "at", "first", "label"))
+        by = np.lexsort((node, at, size, cell, sh))
+        sh, cell, node, size, at, first, label = (x[by] for x in (sh, cell, node, size, at, first, label))
+        own, major, both = (t.column(c).to_numpy(zero_copy_only=False).astype(bool)[by] for c in ("own", "major", "both"))
+        start = runs_of(sh, cell)
+        no = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(sh))))
+        out = Pairs()
+        across_labels(no, node, size, at, first, own, label, major, both, percent, out)
+        a, b = out.fold_up()
+        return pa.table({"a": pa.array(a), "b": pa.array(b)})
+
+    buckets = max(64, rows // part_rows)
+    return dealt(runs, part_rows).withColumn("bucket", F.pmod(F.xxhash64("sh", "cell"), F.lit(buckets))).groupBy("bucket").applyInArrow(run, "a long, b long").distinct()
+
+
+def join(docs: DataFrame, *, k: int = 5, percent: int = 75, sample: int = 20_000, least: int = 4, all_pairs: int = 64, rounds: int = 4, bucket_postings: int = 1_500_000, part_rows: int = 500_000, in_one_task: int = 300_000) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     total = docs.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("chars")).first()
-    common = spark.sparkContext.broadcast(common_shingles(docs, k, total["n"], sample, least))
+    common = spark.sparkContext.broadcast(common_shingles(docs, k, total["n"], sample, least, part_rows))
     buckets = int(max(6, total["chars"] / 6 * 0.26 / bucket_postings))
-    cands = materialise(candidates(postings(docs, common, k, percent, buckets), percent, all_pairs), "ngram-candidates")
+    cands = materialise(candidates(postings(docs, common, k, percent, buckets), common, percent, all_pairs), "ngram-candidates")
     filt, bits = wanted_filter(cands)
     table = materialise(nodes(docs, k, spark.sparkContext.broadcast(filt), bits), "ngram-nodes")
-
-    pairs = materialise(bounded_pairs(cands.where("kind = 0").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), table, percent), "ngram-pairs")
-    entries = cands.where("kind = 1").select(F.col("x").alias("sh"), F.col("y").alias("b"), "size", "at", "first", "own")
-
-    def labelled(df: DataFrame, col: str) -> DataFrame:
-        return df.join(labels.toDF(col, f"label_{col}"), col, "left").withColumn(f"label_{col}", F.coalesce(f"label_{col}", col))
-
-    star = materialise(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "ngram-star")
+    ordered = lambda df: df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+    def labelled(df: DataFrame, col: str, name: str) -> DataFrame:
+        return df.join(labels.toDF(col, name), col, "left").withColumn(name, F.coalesce(name, col))
+
+    # first every node against the leader of its list, or else against one candidate
+    led = cands.where("kind = 2").groupBy(F.col("y").alias("b")).agg(F.min_by("x", F.struct("at", "x")).alias("a")).select("a", "b")
+    heads = cands.where("kind = 3").select("x", "y", "at")
+    heads = heads.join(heads.groupBy("x").agg(F.min_by("y", F.struct("at", "y")).alias("a")), "x").where("a <> y").select("a", F.col("y").alias("b"))
+    pairs = cands.where("kind in (0, 2)").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    pairs = materialise(bounded_pairs(ordered(pairs).distinct(), table, percent), "ngram-pairs")
+    star = materialise(led.unionByName(heads).unionByName(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")).distinct(), "ngram-star")
     found = materialise(links_of(overlaps(star, table), percent), "ngram-found")
-    first, links, tried = found, found.select("a", "b"), star
-    for turn in range(rounds):  # one more partner from another group for every node, while that joins groups
+    partner = found.groupBy(F.col("b").alias("a")).agg(F.min_by(F.struct(F.col("a").alias("p"), F.col("both").alias("a_and_p"), F.col("size_b").alias("size_of_a"), F.col("size_a").alias("size_of_p")), "a").alias("s")).select("a", "s.*")
+    links, tried, spent = found.select("a", "b"), materialise(ordered(star).distinct(), "ngram-tried"), [cands, pairs, star, found]
+    for turn in range(rounds):  # then against candidates of other groups, while that joins groups
         labels = materialise(components(links.select(F.col("a").alias("u"), F.col("b").alias("v")), in_one_task=in_one_task), "ngram-labels")
-        across = labelled(labelled(pairs, "a"), "b").where("label_a <> label_b").select("a", "b")
-        runs = labelled(entries, "b")
+        across = labelled(labelled(pairs, "a", "label_a"), "b", "label_b").where("label_a <> label_b").select("a", "b").join(tried, ["a", "b"], "left_anti")
+        spent.append(labels)
         if turn == rounds - 1:
             break
-        before = Window.partitionBy("sh").orderBy("size", "b")
-        near = runs.select(F.lag("b").over(before).alias("a"), "b", F.lag("label_b").over(before).alias("label_a"), "label_b", F.lag("size").over(before).alias("size_a"), "size")
-        near = near.where((F.col("label_a") != F.col("label_b")) & (F.col("size_a") * 100 >= F.col("size") * percent)).select("a", "b")
-        more = across.unionByName(near).distinct().join(tried, ["a", "b"], "left_anti").groupBy("b").agg(F.min("a").alias("a"), F.max("a").alias("z"))
-        more = more.select(F.col("a"), "b").unionByName(more.select(F.col("z").alias("a"), "b")).distinct()
-        more = materialise(bounded_pairs(more, table, percent), "ngram-more")
+        more = across.groupBy("b").agg(F.min("a").alias("a"), F.max("a").alias("z"))
+        more = materialise(more.select("a", "b").unionByName(more.select(F.col("z").alias("a"), "b")).distinct(), "ngram-more")
         found = materialise(links_of(overlaps(more, table), percent), "ngram-found")
-        tried = materialise(tried.unionByName(more), "ngram-tried")
+        spent += [more, found, links, tried]
         if not found.limit(1).count():
+            tried = tried.unionByName(more)
             break
+        tried = materialise(tried.unionByName(more), "ngram-tried")
         links = materialise(links.unionByName(found.select("a", "b")), "ngram-links")
-    mixed_runs = runs.groupBy("sh").agg(F.min("label_b").alias("lo"), F.max("label_b").alias("hi")).where("lo <> hi").select("sh", "lo")
-
-    def enter_again(t: pa.Table) -> pa.Table:
-        node, size, at, label, first, own = (np.array(t.column(c).to_pylist(), np.int64) for c in ("b", "size", "at", "label_b", "first", "own"))
-        by = np.lexsort((at, node, size))  # lists that share their smallest group are one, each node once
-        new = np.flatnonzero(np.concatenate([[True], node[by][1:] != node[by][:-1]]))
-        own = np.maximum.reduceat(own[by], new)
-        node, size, at, label, first = (x[by][new] for x in (node, size, at, label, first))
-        by = np.arange(len(node))
-        a, b, _ = pairs_of_lists(np.zeros(len(by), np.uint64), node[by], size[by], at[by], percent, len(by), first[by], own[by] != 0, label[by])
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-    again = runs.join(mixed_runs, "sh").groupBy("lo").applyInArrow(enter_again, "a long, b long").distinct()
+
+    # pairs of groups that long lists still hold
+    entries = cands.where("kind = 1").select(F.col("x").alias("sh"), F.col("y").alias("b"), "size", "at", "first", "own")
+    again = ordered(pairs_across(labelled(entries, "b", "label"), percent, part_rows, entries.count()))
     across = materialise(across.unionByName(bounded_pairs(again, table, percent)).distinct().join(tried, ["a", "b"], "left_anti"), "ngram-across")
 
     # answers of a set from those of its partner: b against a's partner p decides most pairs (a, b)
-    partner = first.select(F.col("b").alias("a"), F.col("a").alias("p"), F.col("both").alias("a_and_p"), F.col("size_b").alias("size_of_a"), F.col("size_a").alias("size_of_p"))
     led = across.join(partner, "a", "left")
     asked = materialise(overlaps(led.where("p is not null and p <> b").select(F.col("p").alias("a"), "b").distinct(), table), "ngram-asked")
     known = led.join(asked.select(F.col("a").alias("p"), "b", F.col("both").alias("p_and_b"), F.col("size_b").alias("size_of_b")), ["p", "b"], "left")
@@ -458,10 +566,11 @@ def join(docs: DataFrame, *, k: int = 5, percent: int = 75, sample: int = 20_000
     known = materialise(known.select("a", "b", state.alias("state")), "ngram-derived")
     verified = links_of(overlaps(known.where("state = 0").select("a", "b").distinct(), table), percent)
     edges = links.unionByName(links_of(asked, percent).select("a", "b")).unionByName(known.where("state = 1").select("a", "b")).unionByName(verified.select("a", "b"))
-    groups = components(edges.select(F.col("a").alias("u"), F.col("b").alias("v")), in_one_task=in_one_task)
+    groups = materialise(components(edges.select(F.col("a").alias("u"), F.col("b").alias("v")), in_one_task=in_one_task), "ngram-groups")
+    discard(*spent, links, across, asked, known)
 
     members = table.select("doc_id", "size", "node").join(groups, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    least_id = members.where(F.col("label").isNotNull()).groupBy("label").agg(F.min("doc_id").alias("component_id"))
+    least_id = materialise(members.where(F.col("label").isNotNull()).groupBy("label").agg(F.min("doc_id").alias("component_id")), "ngram-least")  # a table of its own: the join can split a large component
     return members.join(least_id, "label", "left").select(
         "doc_id", F.col("size").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")
     )

@@ -153,7 +153,7 @@ def brute_links(rows):
     return {d: (len(sets[d]), find(d)) for d in sets}
 
 
-@pytest.mark.parametrize("options", [{}, {"in_one_task": 0, "all_pairs": 2, "bucket_postings": 300, "sample": 10, "least": 2}])
+@pytest.mark.parametrize("options", [{}, {"in_one_task": 0, "all_pairs": 2, "bucket_postings": 300, "sample": 10, "least": 2}, {"all_pairs": 3, "least": 2, "part_rows": 4}])
 def test_ngram_join(docs, options):
     got = ngram_join.join(docs, **options).collect()
     want = brute_links({(r["doc_id"], r["text"]) for r in docs.where("doc_id is not null").collect()})
@@ -175,6 +175,61 @@ def test_large_group_of_near_copies(spark):
     assert got == brute_links(rows)
 
 
+def near_copies(n, seed=11):
+    """Near copies of one text, from whole copies to hardly alike, each with a line that stands in every document."""
+    rng = random.Random(seed)
+    base, line = [f"t{i}" for i in range(120)], " ".join(f"shared{i}" for i in range(12))
+    out = []
+    for i in range(n):
+        w = list(base)
+        for _ in range(rng.randint(0, 8)):
+            w[rng.randrange(len(w))] = f"x{rng.randrange(10**6)}"
+        out.append((i, " ".join(w) + " " + line))
+    return out + [(n + i, " ".join(f"o{rng.randrange(10**6)}" for _ in range(60)) + " " + line) for i in range(n)]
+
+
+@pytest.mark.parametrize("options", [{}, {"part_rows": 40, "all_pairs": 8}])
+def test_hot_lists(spark, options):
+    rows = near_copies(150)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), least=3, **options).collect()}
+    assert got == brute_links(rows)
+
+
+def test_pairs_grow_with_the_rows(spark):
+    made = []
+    for n in (500, 2000):
+        docs = spark.createDataFrame(near_copies(n), "doc_id long, text string").repartition(4)
+        common = spark.sparkContext.broadcast(ngram_join.common_shingles(docs, 5, 2 * n, 20_000, 4, 500_000))
+        cands = ngram_join.candidates(ngram_join.postings(docs, common, 5, 75, 6), common, 75, 64).cache()
+        pairs = cands.where("kind in (0, 2)").select("x", "y").distinct().count()
+        star = cands.where("kind = 2").groupBy("y").agg(F.min_by("x", F.struct("at", "x")).alias("x"))
+        label = star.select(F.col("y").alias("b"), F.col("x").alias("label"))
+        runs = cands.where("kind = 1").select(F.col("x").alias("sh"), F.col("y").alias("b"), "size", "at", "first", "own").join(label, "b")
+        one = runs.withColumn("label", F.lit(1).cast("long"))
+        assert ngram_join.pairs_across(one, 75, 500_000, 1).count() == 0  # nothing is formed inside a group
+        made.append((pairs, ngram_join.dealt(runs, 500_000).count(), runs.count()))
+    (small, _, _), (large, dealt, entries) = made
+    assert large <= 5 * small and large < 12 * 4000 and dealt <= entries
+
+
+def test_block_skip():
+    rng = np.random.default_rng(3)
+    n = 400
+    run, size = rng.integers(0, 6, n), rng.integers(5, 40, n)
+    at, first, label = rng.integers(0, 12, n), rng.integers(0, 50, n).astype(np.uint64), rng.integers(0, 9, n) ** 2 // 9
+    by = np.lexsort((at, size, run))
+    run, size, at, first, label = (x[by] for x in (run, size, at, first, label))
+    node, own, none = np.arange(n), np.zeros(n, bool), np.arange(n).astype(np.uint64)
+    may = lambda i, j: run[i] == run[j] and min(size[i] - at[i], size[j] - at[j]) * 175 >= 75 * (size[i] + size[j])
+    want = {(i, j) for i in range(n) for j in range(i + 1, n) if may(i, j)}
+    out = ngram_join.Pairs(at_once=50)
+    ngram_join.list_pairs(run, node, size, at, none, own, 75, out)
+    assert set(zip(*out.fold_up().tolist())) == want
+    out, major = ngram_join.Pairs(), label == 0
+    ngram_join.across_labels(run, node, size, at, none, own, label, major, np.ones(n, bool), 75, out)
+    assert set(zip(*out.fold_up().tolist())) == {(i, j) for i, j in want if label[i] != label[j]}
+
+
 def test_components(spark):
     edges = spark.createDataFrame([(1, 2), (2, 3), (5, 4), (9, 9), (3, 10), (10, 11)], "u long, v long")
     want = {1: 1, 2: 1, 3: 1, 10: 1, 11: 1, 4: 4, 5: 4}

@@ -7,6 +7,7 @@ import pytest
 
 import corpus_pipeline
 from lexmill.llm import langid, quality_gbdt
+from lexmill.llm._common import materialise
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -62,7 +63,7 @@ def test_whole_run(spark, folder):
     d, passage = folder
     docs = spark.read.parquet(f"{d}/documents.parquet")
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        docs = stage(spark, docs, d).localCheckpoint()
+        docs = materialise(stage(spark, docs, d), "test-stage")
     assert docs.count() > 0 and not any(passage in t for _, t in rows_of(docs))
     want = corpus_pipeline.pack(spark, docs, d)
     got = corpus_pipeline.run(spark, d)
