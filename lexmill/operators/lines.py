@@ -163,13 +163,13 @@ def remove_without_final_mark() -> Line:
 @rule("en", "Remove_Line_Less_Char")
 def remove_few_letters() -> Line:
     """Drops a line when more than half of it is other than ASCII letters, blanks, commas and ! ?."""
-    return keep(lambda c: F.length(F.regexp_replace(c, "[a-zA-Z ,!?]", "")) / F.length(c) <= 0.5)
+    return keep(lambda c: 2 * F.length(F.regexp_replace(c, "[a-zA-Z ,!?]", "")) <= F.length(c))
 
 
 @rule("zh", "Remove_Line_Less_Char")
 def remove_few_chinese() -> Line:
     """Drops a line when more than 70 % of its characters are not Chinese."""
-    return keep(lambda c: F.length(F.regexp_replace(c, f"[{chars.CHINESE}]", "")) / F.length(c) <= 0.7)
+    return keep(lambda c: 10 * F.length(F.regexp_replace(c, f"[{chars.CHINESE}]", "")) <= 7 * F.length(c))
 
 
 @rule("common", "Remove_Lines_With_Content")

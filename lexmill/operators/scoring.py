@@ -13,18 +13,24 @@ from lexmill.functions.regex import let, tokens
 LOG_ZERO = -9999999999.0
 
 
-def ngrams(words: Column, n: int) -> Column:
-    """The word n-grams of an array, joined by blanks."""
+def ngrams(words: Column, n: int, glue: str = " ") -> Column:
+    """The n-grams of an array, each joined by ``glue``. ``words`` is named inside a lambda: pass a column or a ``let``
+    variable, not an expression that would be evaluated for every n-gram."""
     count = F.size(words) - (n - 1)
-    return F.when(count > 0, F.transform(F.sequence(F.lit(1), count), lambda i: F.array_join(F.slice(words, i, F.lit(n)), " "))).otherwise(F.array().cast("array<string>"))
+    return F.when(count > 0, F.transform(F.sequence(F.lit(1), count), lambda i: F.array_join(F.slice(words, i, F.lit(n)), glue))).otherwise(F.array().cast("array<string>"))
 
 
-def _grams(df: DataFrame, key: str, value: str, orders: Sequence[int], split) -> DataFrame:
-    def marked(n: int):
-        return lambda g: F.struct(F.lit(n).alias("n"), g.alias("gram"))
+def occurrences(grams: Column) -> Column:
+    """Every occurrence as ``gram, mark, number``, so that the size of an intersection of two such arrays is the clipped
+    count of their common grams, and a union keeps each gram's largest count. Sorting finds the runs: n log n a row, and
+    nothing is shuffled."""
 
-    each = [F.transform(split(F.col(value), n), marked(n)) for n in orders]
-    return df.select(key, F.explode(F.concat(*each)).alias("g")).select(key, "g.n", "g.gram")
+    def of(g: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.size(g) - 1), lambda i: (i == 0) | (F.get(g, i) != F.get(g, i - 1)))
+        runs = lambda s: F.flatten(F.transform(s, lambda at, k: F.transform(F.sequence(F.lit(1), F.coalesce(F.get(s, k + 1), F.size(g)) - at), lambda m: F.concat_ws("\x01", F.get(g, at), m.cast("string")))))
+        return F.when(F.size(g) > 0, let(starts, runs)).otherwise(F.array().cast("array<string>"))
+
+    return let(F.sort_array(grams), of)
 
 
 def _log(c: Column) -> Column:
@@ -42,22 +48,20 @@ def _final(stats: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def bleu_statistics(hyp: DataFrame, ref: DataFrame, key: str = "sent_id", value: str = "value", lowercase: bool = False) -> DataFrame:
     """Per sentence: clipped and total n-gram counts (largest count over the references), hypothesis length, length of
-    the closest reference (the shorter of two as close). ``ref`` may hold several rows a key."""
+    the closest reference (the shorter of two as close). ``ref`` may hold several rows a key. One join by key; all
+    counting is inside the row."""
     low = (lambda c: F.lower(c)) if lowercase else (lambda c: c)
-    h = hyp.select(key, low(F.coalesce(value, F.lit(""))).alias("v"))
-    r = ref.select(key, low(F.coalesce(value, F.lit(""))).alias("v")).withColumn("ref_no", F.monotonically_increasing_id())
-    split = lambda c, n: ngrams(tokens(c), n)
+    side = lambda df, name: df.select(key, tokens(low(F.coalesce(value, F.lit("")))).alias(name))
+    both = side(hyp, "h").join(side(ref, "r").groupBy(key).agg(F.collect_list("r").alias("rs")), key)
     orders = range(1, 5)
-    hg = _grams(h, key, "v", orders, split).groupBy(key, "n", "gram").agg(F.count("*").alias("c"))
-    rg = _grams(r.withColumn("_k", F.struct(key, "ref_no")), "_k", "v", orders, split).groupBy("_k", "n", "gram").agg(F.count("*").alias("c"))
-    rg = rg.groupBy(F.col(f"_k.{key}").alias(key), "n", "gram").agg(F.max("c").alias("rc"))
-    hit = hg.join(rg, [key, "n", "gram"], "left").select(key, "n", "c", F.least("c", F.coalesce("rc", F.lit(0))).alias("hit"))
-    sums = [F.sum(F.when(F.col("n") == n, F.col(c)).otherwise(0)).alias(f"{name}_{n}") for n in orders for c, name in (("hit", "correct"), ("c", "total"))]
-    counts = hit.groupBy(key).agg(*sums)
-    length = h.select(key, F.size(tokens(F.col("v"))).alias("hyp_len"))
-    best = length.join(r.select(key, F.size(tokens(F.col("v"))).alias("len")), key).groupBy(key).agg(
-        F.first("hyp_len").cast("long").alias("hyp_len"), F.min_by("len", F.struct(F.abs(F.col("len") - F.col("hyp_len")), "len")).cast("long").alias("ref_len"))
-    return best.join(counts, key, "left").fillna(0)
+
+    def correct(n: int) -> Column:
+        of_refs = F.transform("rs", lambda r: occurrences(ngrams(r, n)))
+        return F.size(F.array_intersect(occurrences(ngrams(F.col("h"), n)), F.array_distinct(F.flatten(of_refs)))).cast("long").alias(f"correct_{n}")
+
+    totals = [F.greatest(F.size("h") - (n - 1), F.lit(0)).cast("long").alias(f"total_{n}") for n in orders]
+    closest = F.array_min(F.transform("rs", lambda r: F.struct(F.abs(F.size(r) - F.size("h")).alias("off"), F.size(r).alias("len"))))
+    return both.select(key, *(correct(n) for n in orders), *totals, F.size("h").cast("long").alias("hyp_len"), closest["len"].cast("long").alias("ref_len"))
 
 
 def sentence_bleu(hyp: DataFrame, ref: DataFrame, key: str = "sent_id", value: str = "value", lowercase: bool = False) -> DataFrame:
@@ -82,18 +86,20 @@ def bleu_report(hyp: DataFrame, ref: DataFrame, key: str = "sent_id", value: str
 
 
 def chrf(hyp: DataFrame, ref: DataFrame, key: str = "sent_id", value: str = "value", n: int = 6, beta: float = 3.0, spaces: bool = False) -> DataFrame:
-    """chrf, precision, recall over all sentences: character n-grams 1 to n, orders averaged, 0 where nothing matches."""
-    text = (lambda c: F.trim(c)) if spaces else (lambda c: F.regexp_replace(c, r"[\s\u0085 　]+", ""))
-
-    def split(c: Column, k: int) -> Column:
-        count = F.length(c) - (k - 1)
-        return F.when(count > 0, F.transform(F.sequence(F.lit(1), count), lambda i: F.substr(c, i, F.lit(k)))).otherwise(F.array().cast("array<string>"))
-
-    side = lambda df: _grams(df.select(key, text(F.coalesce(value, F.lit(""))).alias("v")), key, "v", range(1, n + 1), split).groupBy(key, "n", "gram").agg(F.count("*").alias("c"))
-    both = side(hyp).withColumnRenamed("c", "h").join(side(ref).withColumnRenamed("c", "r"), [key, "n", "gram"], "full_outer").fillna(0, ["h", "r"])
-    by = both.groupBy("n").agg(F.sum(F.least("h", "r")).alias("correct"), F.sum("h").alias("hyp"), F.sum("r").alias("ref"))
-    ok = (F.col("hyp") > 0) & (F.col("ref") > 0)
-    out = by.agg((F.coalesce(F.sum(F.when(ok, F.col("correct") / F.col("hyp"))), F.lit(0.0)) / n).alias("precision"), (F.coalesce(F.sum(F.when(ok, F.col("correct") / F.col("ref"))), F.lit(0.0)) / n).alias("recall"))
+    """chrf, precision, recall over all sentences: character n-grams 1 to n, orders averaged, 0 where nothing matches.
+    A sentence that one side lacks only adds to the other's totals."""
+    text = (lambda c: F.trim(c)) if spaces else (lambda c: F.regexp_replace(c, r"[\s\u0085 　]+", ""))
+    letters = lambda c: F.filter(F.split(text(F.coalesce(c, F.lit(""))), ""), lambda x: x != "")
+    side = lambda df, name: df.select(key, letters(F.col(value)).alias(name))
+    none = F.array().cast("array<string>")
+    both = side(hyp, "h").join(side(ref, "r"), key, "full_outer").select(F.coalesce("h", none).alias("h"), F.coalesce("r", none).alias("r"))
+    total = lambda c, k: F.coalesce(F.sum(F.greatest(F.size(c) - (k - 1), F.lit(0)).cast("long")), F.lit(0))
+    hits = lambda k: F.coalesce(F.sum(F.size(F.array_intersect(occurrences(ngrams(F.col("h"), k, "")), occurrences(ngrams(F.col("r"), k, "")))).cast("long")), F.lit(0))
+    orders = range(1, n + 1)
+    by = both.agg(*(hits(k).alias(f"correct_{k}") for k in orders), *(total(c, k).alias(f"{c}_{k}") for k in orders for c in "hr"))
+    ok = lambda k: (F.col(f"h_{k}") > 0) & (F.col(f"r_{k}") > 0)
+    mean = lambda c: sum((F.when(ok(k), F.col(f"correct_{k}") / F.col(f"{c}_{k}")).otherwise(0.0) for k in orders), F.lit(0.0)) / n
+    out = by.select(mean("h").alias("precision"), mean("r").alias("recall"))
     b = beta**2
     low = F.lit(b) * F.col("precision") + F.col("recall")
     return out.select(F.when(low > 0, F.lit(1 + b) * F.col("precision") * F.col("recall") / F.when(low > 0, low)).otherwise(F.lit(0.0)).alias("chrf"), "precision", "recall")

@@ -29,8 +29,8 @@ def fragments(c: Column, steps: list[tuple[str, Freeze]], ignore_case: bool = Tr
         def cut(f: Column) -> Column:
             def pieces(found: Column) -> Column:
                 def at(t: Column, i: Column) -> Column:
-                    own = lambda m: F.when(m.isNotNull(), F.array(piece(t, True), piece(freeze(m), False))).when(t != "", F.array(piece(t, True))).otherwise(none)
-                    return let(F.get(found, i), own)
+                    m = F.get(found, i)
+                    return F.when(m.isNotNull(), F.array(piece(t, True), piece(freeze(m), False))).when(t != "", F.array(piece(t, True))).otherwise(none)
 
                 return F.flatten(F.transform(F.split(f["text"], p, -1), at))
 
@@ -43,6 +43,23 @@ def fragments(c: Column, steps: list[tuple[str, Freeze]], ignore_case: bool = Tr
     return out
 
 
+def tagged_by_marks(c: Column, pattern_list: list[str], text: str, small: bool = False, ignore_case: bool = True) -> Column:
+    """As ``tagged`` with one fixed tag for all matches, in one pass of the line for each pattern: a match becomes a
+    private-use mark, so no later pattern sees it, and a cut mark stands where a fragment ends. With ``small``, integers
+    of one to three digits stay; a cut on both sides keeps later patterns from joining them to their neighbours."""
+    cut, open_, close, end, done = "\ue010", "\ue011", "\ue012", "\ue013", "\ue014"
+    sub = lambda x, p, by: F.regexp_replace(x, p, by)
+    for i, pattern in enumerate(pattern_list):
+        if i:  # fragments that are empty by now go
+            c = sub(c, f"^{cut}+|(?<={cut}){cut}+", "")
+        c = sub(c, java(pattern, ignore_case), f"{cut}{open_}$0{close}{end}")
+        c = F.translate(sub(sub(c, end + cut, cut), end + r"\z", ""), end, cut)
+        if small:
+            c = sub(c, f"{open_}([0-9]{{1,3}}){close}", "$1")
+        c = sub(c, f"{open_}[^{close}]*{close}", done)
+    return F.replace(F.translate(c, cut, " "), F.lit(done), F.lit(text))
+
+
 def tagged(c: Column, steps: list[tuple[str, Freeze]], ignore_case: bool = True) -> Column:
     return F.array_join(F.transform(fragments(c, steps, ignore_case), lambda f: f["text"]), " ")
 
@@ -72,12 +89,14 @@ def _register(language: str, numbers: list[str], amounts: list[str], month: list
     @rule(language, "Slot_Tag_Number")
     def basic(number_tag: str = "N") -> Line:
         """Every number becomes the tag. In Chinese a month's number is cut out first and dropped with its sign."""
+        if not month:
+            return lambda c: tagged_by_marks(c, numbers, number_tag)
         return lambda c: tagged(c, [*month, *((p, tag(number_tag)) for p in numbers)])
 
     @rule(language, "Slot_Tag_Number_v2")
     def not_small(number_tag: str = "N") -> Line:
         """As the basic form, but integers below 1000 stay."""
-        return lambda c: tagged(c, [(p, small_or(tag(number_tag))) for p in both])
+        return lambda c: tagged_by_marks(c, both, number_tag, small=True)
 
     @rule(language, "Slot_Tag_Number_v3")
     def not_small_slot(number_tag: str = "N") -> Line:
@@ -87,7 +106,7 @@ def _register(language: str, numbers: list[str], amounts: list[str], month: list
     @rule(language, "Slot_Tag_Number_v4")
     def with_unit(number_tag: str = "N") -> Line:
         """Only numbers with a magnitude word."""
-        return lambda c: tagged(c, [(p, tag(number_tag)) for p in amounts])
+        return lambda c: tagged_by_marks(c, amounts, number_tag)
 
     @rule(language, "Slot_Tag_Number_v5")
     def with_unit_slot(number_tag: str = "N") -> Line:

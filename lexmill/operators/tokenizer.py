@@ -69,15 +69,13 @@ def _final_periods(x: Column, lang: str, abbreviations: dict[str, list[str]] | N
     known = prefixes(lang, abbreviations)
     numeric = NUMERIC_ONLY.get(lang, NUMERIC_ONLY["en"] if lang not in NONBREAKING else [])
 
-    def joined(words: Column) -> Column:
-        def one(w: Column, i: Column) -> Column:
-            following = F.coalesce(F.get(words, i + 1), F.lit(""))
-            stays = lambda stem: (F.contains(stem, F.lit(".")) & stem.rlike(f"[{_ALPHA}]")) | stem.isin(known) | following.rlike(r"^\p{IsLowercase}") | (stem.isin(numeric) & following.rlike("^[0-9]"))
-            return F.when(F.endswith(w, F.lit(".")) & (F.length(w) > 1), let(F.left(w, F.length(w) - 1), lambda stem: F.when(stays(stem), w).otherwise(F.concat(stem, F.lit(" ."))))).otherwise(w)
+    def one(w: Column, following: Column) -> Column:
+        stem = F.left(w, F.length(w) - 1)
+        stays = (F.contains(stem, F.lit(".")) & stem.rlike(f"[{_ALPHA}]")) | stem.isin(known) | following.rlike(r"^\p{IsLowercase}") | (stem.isin(numeric) & following.rlike("^[0-9]"))
+        return F.when(F.endswith(w, F.lit(".")) & (F.length(w) > 1) & ~stays, F.concat(stem, F.lit(" ."))).otherwise(w)
 
-        return F.array_join(F.transform(words, one), " ")
-
-    return let(F.split(x, r"\s"), joined)
+    # the next word comes as an argument: a vectorised function can't stand above a lambda that names an outer variable
+    return let(F.split(x, r"\s"), lambda words: F.array_join(F.zip_with(words, F.concat(F.slice(words, F.lit(2), F.size(words)), F.array(F.lit(""))), one), " "))
 
 
 @rule("common", "General_Sentence_Tokenizer")
