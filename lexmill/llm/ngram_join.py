@@ -211,7 +211,7 @@ def read_lists(table: pa.Table) -> tuple[np.ndarray, ...]:
     """Shingle, node, size, position, first shingle of a bucket's entries, by shingle, size and position; each node once in
     a list."""
     sh, node, size, at, first = [], [], [], [], []
-    for s, d, a, n, z, f in zip(*(table.column(c).to_pylist() for c in PACKED)):
+    for s, d, a, n, z, f in zip(*(blobs(table.column(c).combine_chunks()) for c in PACKED)):
         doc = np.frombuffer(d, np.uint16)
         sh.append(np.frombuffer(s, np.uint64))
         node.append(np.frombuffer(n, np.int64)[doc])
@@ -509,7 +509,7 @@ def pairs_across(runs: DataFrame, percent: int, part_rows: int, rows: int) -> Da
     return dealt(runs, part_rows).withColumn("bucket", F.pmod(F.xxhash64("sh", "cell"), F.lit(buckets))).groupBy("bucket").applyInArrow(run, "a long, b long").distinct()
 
 
-def join(docs: DataFrame, *, k: int = 5, percent: int = 75, sample: int = 20_000, least: int = 4, all_pairs: int = 64, rounds: int = 4, bucket_postings: int = 1_500_000, part_rows: int = 500_000, in_one_task: int = 300_000) -> DataFrame:
+def join(docs: DataFrame, *, k: int = 5, percent: int = 75, sample: int = 20_000, least: int = 4, all_pairs: int = 64, rounds: int = 4, bucket_postings: int = 700_000, part_rows: int = 500_000, in_one_task: int = 300_000) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
