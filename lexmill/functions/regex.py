@@ -14,7 +14,9 @@ _BOUNDARY = f"(?:(?<={_W})(?!{_W})|(?<!{_W})(?={_W}))"
 
 
 def java(pattern: str, ignore_case: bool = True) -> str:
-    """Only a line feed ends a line; ``\\Z`` is the very end; boundaries and classes are ASCII."""
+    """Only a line feed ends a line; ``\\Z`` is the very end; boundaries and classes are ASCII. A boundary before a digit
+    looks at the digit first, which most places fail at once."""
+    pattern = re.sub(r"\\b(?=\\d)", lambda m: rf"(?=\d)(?<!{_W})", pattern)
     body = re.sub(r"\\([bZ])", lambda m: _BOUNDARY if m[1] == "b" else r"\z", pattern)
     return ("(?di)" if ignore_case else "(?d)") + body
 

@@ -33,7 +33,12 @@ SAMPLES = [
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table; a small one of few row groups, which few tasks would read, is spread over all cores (a shuffle of 256 MB
+    at most, by the size the plan knows; larger tables stay where they are)."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    if name not in {"documents", "conversations"} or df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes() > 256 << 20:
+        return df
+    return df.repartition(spark.sparkContext.defaultParallelism)
 
 
 def all_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -458,8 +463,18 @@ def train_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.Engine(spark, spec).run({"pairs": raw})["final"].select("value")
 
 
-_side = lambda c: f"""coalesce({_chain_expr(_EN, 'en', f"nullif(replace({c}, chr(10), ' '), '')")}, 'REMOVETHISLINE')"""
-add("pipeline_train_set", train_set, f"WITH {_PAIRS_SQL}, z AS (SELECT DISTINCT {_side('src')} || chr(9) || {_side('tgt')} AS value FROM pairs) SELECT value FROM z WHERE NOT contains(value, 'REMOVETHISLINE')")
+def _cte_chain(rules: list[str], language: str, start: str, prefix: str) -> str:
+    """A CTE a rule: (pair_id, v) from the table ``start``; a rule that names its argument twice doesn't double."""
+    out, before = [], start
+    for i, r in enumerate(rules):
+        out.append(f"{prefix}{i} AS MATERIALIZED (SELECT pair_id, {_chain_expr([r], language, 'v')} AS v FROM {before})")
+        before = f"{prefix}{i}"
+    return ", ".join(out)
+
+
+_last = len(_EN) - 1
+add("pipeline_train_set", train_set, f"""WITH {_PAIRS_SQL}, s AS (SELECT pair_id, nullif(replace(src, chr(10), ' '), '') AS v FROM pairs), t AS (SELECT pair_id, nullif(replace(tgt, chr(10), ' '), '') AS v FROM pairs),
+{_cte_chain(_EN, 'en', 's', 'sa')}, {_cte_chain(_EN, 'en', 't', 'tb')}, z AS (SELECT DISTINCT coalesce(a.v, 'REMOVETHISLINE') || chr(9) || coalesce(b.v, 'REMOVETHISLINE') AS value FROM sa{_last} a JOIN tb{_last} b USING (pair_id)) SELECT value FROM z WHERE NOT contains(value, 'REMOVETHISLINE')""")
 
 
 def line_step_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
