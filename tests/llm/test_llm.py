@@ -344,4 +344,36 @@ def test_toxicity(spark):
     assert all(got[i]["predicted"] == t for i, _, t in labels)
     assert got[900]["score"] == got[901]["score"] and 0 < got[900]["score"] < 1
     gap = lambda m: float(np.ptp(m.score([f"n1 {g} n2" for g in ("women", "men", "girls")])))
-    assert gap(fair) < gap(plain)
+    assert gap(fair) < gap(plain) and gap(toxicity.fit(d, lab)) < gap(plain) / 2
+    neutral = [f"{' '.join(rng.choices(vocab, k=19))} women" for _ in range(100)]
+    assert fair.score(neutral).mean() < plain.score(neutral).mean() and sum(fair.score(neutral) >= 0.5) <= sum(plain.score(neutral) >= 0.5)
+
+
+def test_counterfactuals():
+    rng = np.random.default_rng(12)
+    groups = (("women", "men", "wombats"), ("black", "white"))
+    texts = ["Women and men talk", "women walk; wombling on", "a black cat", "nothing here", "", "white, black and men", "wombats womb"]
+    partners = toxicity.swaps(groups)
+    names = sorted({f for t in texts for f in toxicity.document_features(t)} | set(partners) - {"wombats"})
+    at = {n: j for j, n in enumerate(names)}
+    w, bias = rng.normal(size=len(names)), 0.3
+    model = toxicity.Model({n: float(w[j]) for n, j in at.items()}, bias)
+    found, brute = [], []
+    for i, t in enumerate(texts):
+        for term, other, gained, lost, k in toxicity.counterfactuals(t, partners):
+            found.append((i, k, [at[f] for f in gained if f in at], [at[f] for f in lost if f in at]))
+            changed = re.sub(r"\w+", lambda m: other if m[0].lower() == term else term if m[0].lower() == other else m[0], t)  # noqa: B023
+            brute.append((k, model.score([t])[0], model.score([changed])[0]))
+    assert len(found) == 2 * 2 + 2 + 1 + 2 + 2 + 2
+    s = toxicity.Swaps.of(found)
+    x = np.array([[float(n in toxicity.document_features(t)) for n in names] for t in texts])
+    value, by_doc, by_weight = s.penalty(w, x @ w + bias)
+    assert value == pytest.approx(sum(k * (q - p) ** 2 for k, p, q in brute) / sum(k for k, _, _ in brute))
+    still = [(i, p, q) for (i, _, gained, lost), (_, p, q) in zip(found, brute) if not gained and not lost]
+    assert [i for i, _, _ in still] == [0, 0, 5, 5] and all(p == q for _, p, q in still)  # both terms named: nothing changes
+    grad = x.T @ by_doc + by_weight
+    for j in range(len(names)):
+        e = np.zeros(len(names))
+        e[j] = 1e-6
+        slope = (s.penalty(w + e, x @ (w + e) + bias)[0] - s.penalty(w - e, x @ (w - e) + bias)[0]) / 2e-6
+        assert slope == pytest.approx(grad[j], abs=1e-7)
