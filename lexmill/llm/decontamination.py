@@ -7,7 +7,7 @@ the diagonal has at most one mismatch to four matches and at least ``least`` mat
 item; the masks hit every such stretch. The figures are those of the best stretch (a match counts 1, a mismatch costs
 ``cost``) where it holds enough words itself, else those of the stretch with the most matches.
 
-The benchmark side is taken in blocks of at most ``block_words`` words, each sent to all tasks: what is broadcast is
+The benchmark side is taken in blocks of about ``block_words`` words, each sent to all tasks: what is broadcast is
 bounded, and a larger benchmark takes more passes. Documents are never shuffled.
 
 Cases: null or empty texts on either side match nothing; items of five to nine words are found with one word substituted
@@ -27,9 +27,9 @@ import xxhash
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql.pandas.types import to_arrow_type
 
-from lexmill.llm._common import keep_rows, texts
+from lexmill.llm._common import keep_rows, materialise, texts
 
 #: The longest window.
 SPAN = 10
@@ -154,14 +154,17 @@ def found(ix: Index, rows: list[str], known: dict, least: int, cost: int) -> dic
 
 
 def blocks_of(benchmark: DataFrame, shortest: int, block_words: int) -> Iterator[Broadcast]:
-    """The broadcast index of each block of the benchmark."""
+    """The broadcast index of each block of the benchmark. Items are dealt to blocks by a hash, about ``block_words`` words
+    each: the number of blocks follows from a sum, and no task or driver holds more than one block."""
     spark = benchmark.sparkSession
     items = benchmark.where(F.col("text").isNotNull()).select("item_id", "text").distinct()
-    size = F.size(F.split("text", r"\s+"))
-    by_block = items.select("item_id", "text", F.floor((F.sum(size).over(Window.orderBy("item_id", F.md5("text"))) - 1) / block_words).alias("block"))
-    for block in sorted(r["block"] for r in by_block.select("block").distinct().collect()):
-        own = [(r["item_id"], r["text"]) for r in by_block.where(F.col("block") == block).select("item_id", "text").collect()]
-        yield spark.sparkContext.broadcast(Index(sorted(own, key=lambda r: (r[0] is None, r)), shortest))
+    words = items.agg(F.coalesce(F.sum(F.size(F.split("text", r"\s+"))), F.lit(0)).alias("n")).first()["n"]
+    count = -(-words // block_words)
+    dealt = materialise(items.select("item_id", "text", F.pmod(F.xxhash64("text"), F.lit(max(count, 1))).alias("block")), "benchmark-blocks") if count > 1 else items.withColumn("block", F.lit(0))
+    for block in range(count):
+        own = [(r["item_id"], r["text"]) for r in dealt.where(F.col("block") == block).select("item_id", "text").collect()]
+        if own:
+            yield spark.sparkContext.broadcast(Index(sorted(own, key=lambda r: (r[0] is None, r[0] if r[0] is not None else 0, r[1])), shortest))
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, *, least: int = 13, shortest: int = 5, cost: int = 4, block_words: int = 500_000) -> DataFrame:
@@ -183,6 +186,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, *, least: int = 13, shortest: i
 def contaminated(docs: DataFrame, benchmark: DataFrame, *, least: int = 13, shortest: int = 5, cost: int = 4, block_words: int = 500_000) -> DataFrame:
     """doc_id, item_id, matched_words, overlap_words: one row for each document and item found in it."""
     kind, item_kind = dict(docs.dtypes)["doc_id"], dict(benchmark.dtypes)["item_id"]
+    item_type = to_arrow_type(benchmark.schema["item_id"].dataType)
     parts = []
     for index in blocks_of(benchmark, shortest, block_words):
 
@@ -195,7 +199,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, least: int = 13, shor
                     if best:
                         at = list(best)
                         yield pa.RecordBatch.from_arrays(
-                            [c.column("doc_id").take(pa.array([d for d, _ in at])), pa.array([ix.ids[i] for _, i in at]).cast(ITEM[item_kind]), pa.array([best[k][0] for k in at], pa.int64()), pa.array([best[k][1] for k in at], pa.int64())],
+                            [c.column("doc_id").take(pa.array([d for d, _ in at])), pa.array([ix.ids[i] for _, i in at]).cast(item_type), pa.array([best[k][0] for k in at], pa.int64()), pa.array([best[k][1] for k in at], pa.int64())],
                             ["doc_id", "item_id", "matched_words", "overlap_words"],
                         )
 
@@ -207,5 +211,3 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, least: int = 13, shor
         out = out.unionByName(p)
     return out.groupBy("doc_id", "item_id").agg(F.max("matched_words").alias("matched_words"), F.max("overlap_words").alias("overlap_words"))
 
-
-ITEM = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}

@@ -289,6 +289,20 @@ def test_decontamination(spark):
     assert {r["doc_id"]: (r["matched_words"], r["overlap_words"]) for r in got}[1] == (19, 21)  # words 5 to 25, two substituted
 
 
+@pytest.mark.parametrize("kind", ["smallint", "string", "decimal(9,0)", "double"])
+def test_decontamination_cases(spark, kind):
+    item = [f"w{j}" for j in range(20)]
+    long = " ".join(f"l{j % 5000}" for j in range(200_000))
+    rows = [(1, " ".join(item), 5), (1, " ".join(item), 5), (2, f"{long} {' '.join(item)} {long}", 5), (3, long, 5), (None, " ".join(item), None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, item_id long")  # a column that clashes with the benchmark's
+    bench = spark.createDataFrame([(7, " ".join(item), 1), (7, " ".join(item), 1), (7, " ".join(f"z{j}" for j in range(20)), 2), (None, None, 3)], "item_id long, text string, doc_id long").withColumn("item_id", F.col("item_id").cast(kind))
+    for block in (500_000, 15):
+        got = decontamination.contaminated(docs, bench, block_words=block).collect()
+        assert sorted((r["doc_id"] or 0, float(r["item_id"]), r["matched_words"]) for r in got) == [(0, 7.0, 20), (1, 7.0, 20), (2, 7.0, 20)]
+        kept = decontamination.clean(docs, bench, block_words=block)
+        assert kept.columns == docs.columns and [r["doc_id"] for r in kept.collect()] == [3]
+
+
 def test_decontamination_substitutions(spark):
     rng = random.Random(8)
     items = {n: [f"i{n}x{j}" for j in range(n)] for n in (*range(5, 21), 24, 31, 40)}
