@@ -38,7 +38,7 @@ def rule(language: str, name: str):
             guarded.raw = own
             return guarded
 
-        build.__doc__ = factory.__doc__
+        build.__doc__, build.factory = factory.__doc__, factory
         REGISTRY[language, name] = build
         return factory
 
@@ -275,17 +275,21 @@ def recover_chinese() -> Line:
 
 @rule("common", "BD_Break_Line")
 def break_unknown(voc: Iterable[str], entity_safe: bool = False) -> Line:
-    """Words outside the vocabulary as <B>c <M>c <E>c characters; with ``entity_safe`` tags <X:...> stay whole. A
+    """Words outside the vocabulary as <B>c <M>c <E>c characters; with ``entity_safe`` words like <X:...> stay whole. A
     vocabulary too large for a literal goes through ``tables.break_unknown_words``, a join."""
     known = list(dict.fromkeys(voc))
 
     def run(c: Column) -> Column:
         held = F.array(*map(F.lit, known)) if known else F.array().cast("array<string>")
-        return F.array_join(F.transform(tokens(c), lambda w: F.when(F.array_contains(held, w) | (F.lit(entity_safe) & w.rlike("^<[A-Za-z]+:.*>$")), w).otherwise(broken(w))), " ")
+        return F.array_join(F.transform(tokens(c), lambda w: F.when(F.array_contains(held, w) | (F.lit(entity_safe) & is_entity(w)), w).otherwise(broken(w))), " ")
 
     return run
 
 
+def is_entity(w: Column) -> Column:
+    return F.startswith(w, F.lit("<")) & F.endswith(w, F.lit(">")) & F.contains(w, F.lit(":"))
+
+
 def broken(w: Column) -> Column:
     return F.array_join(F.transform(F.split(w, ""), lambda x, i: F.concat(F.when(i == 0, F.lit("<B>")).when(i == F.length(w) - 1, F.lit("<E>")).otherwise(F.lit("<M>")), x)), " ")
 

@@ -181,19 +181,13 @@ def vocabulary(lines: DataFrame, size: int, headers: Sequence[str] = ("_UNK",),
     return head.where(F.col("id") < size).unionByName(ranked.select("id", "word", "freq"))
 
 
-def words_to_ids(lines: DataFrame, vocab: DataFrame, keys: Sequence[str], value: str = "value", unknown: str = "_UNK", small: int = 2_000_000) -> DataFrame:
-    """Ids of each line's words joined by blanks; unknown words take the id of ``unknown``, which must be listed.
-
-    The vocabulary is broadcast when its counted size is at most ``small`` rows, else joined by a shuffle."""
+def words_to_ids(lines: DataFrame, vocab: DataFrame, keys: Sequence[str], value: str = "value", unknown: str = "_UNK", small: int = 64 << 20) -> DataFrame:
+    """Ids of each line's words joined by blanks; unknown words take the id of ``unknown``, which must be listed."""
     unk = vocab.where(F.col("word") == unknown).agg(F.min("id")).first()[0]
     if unk is None:
         raise KeyError(unknown)
     v = vocab.groupBy("word").agg(F.max("id").alias("id"))
-    rows = v.count()
-    words = lines.select(*keys, F.posexplode_outer(tokens(F.col(value))).alias("at", "word"))
-    found = words.join(F.broadcast(v) if rows <= small else v, "word", "left")
-    entry = F.when(F.col("at").isNotNull(), F.struct("at", F.coalesce("id", F.lit(unk)).cast("string").alias("id")))
-    return found.groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias("_ids")).select(*keys, F.array_join(F.transform("_ids", lambda e: e["id"]), " ").alias(value))
+    return by_word(lines, v, keys, F.coalesce("id", F.lit(unk)).cast("string"), value, small)
 
 
 def ids_to_words(lines: DataFrame, words: Sequence[str], value: str = "value") -> DataFrame:
@@ -203,25 +197,36 @@ def ids_to_words(lines: DataFrame, words: Sequence[str], value: str = "value") -
     return lines.withColumn(value, F.array_join(F.transform(tokens(F.col(value)), lambda t: F.try_element_at(held, at(t.cast("int")))), " "))
 
 
-def break_unknown_words(lines: DataFrame, vocab: DataFrame, keys: Sequence[str], value: str = "value") -> DataFrame:
-    """The vocabulary break as a join, for vocabularies of any size."""
-    from lexmill.operators.lines import broken
-
+def by_word(lines: DataFrame, table: DataFrame, keys: Sequence[str], found: Column, value: str = "value", small: int = 64 << 20) -> DataFrame:
+    """Each line's words replaced by ``found`` (of ``word`` and the table's other columns, null where the table lacks the
+    word), joined by blanks. A table of at most ``small`` bytes, counted, is broadcast and no word moves; beyond that only
+    the DISTINCT words meet the table, so a very common word is one row there, and the answers go back by word, where
+    the skew join can split it."""
     words = lines.select(*keys, F.posexplode_outer(tokens(F.col(value))).alias("at", "word"))
-    known = vocab.select("word").distinct().withColumn("_known", F.lit(True))
-    out = words.join(known, "word", "left").withColumn("word", F.when(F.col("_known"), F.col("word")).otherwise(broken(F.col("word"))))
+    size = table.agg(F.coalesce(F.sum(F.octet_length("word") + 48), F.lit(0)).alias("b")).first()["b"]
+    if size <= small:
+        out = words.join(F.broadcast(table), "word", "left").withColumn("word", found)
+    else:
+        answers = words.select("word").distinct().join(table, "word", "left").select(F.col("word").alias("_own"), found.alias("_new"))
+        out = words.join(answers, F.col("word") == F.col("_own"), "left").withColumn("word", F.col("_new"))
     entry = F.when(F.col("at").isNotNull(), F.struct("at", "word"))
     return out.groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias("_w")).select(*keys, F.array_join(F.transform("_w", lambda e: e["word"]), " ").alias(value))
 
 
+def break_unknown_words(lines: DataFrame, vocab: DataFrame, keys: Sequence[str], value: str = "value", entity_safe: bool = False) -> DataFrame:
+    """The vocabulary break as a join, for vocabularies of any size."""
+    from lexmill.operators.lines import broken, is_entity
+
+    known = vocab.select("word").distinct().withColumn("_known", F.lit(True))
+    own = F.col("word")
+    return by_word(lines, known, keys, F.when(F.col("_known") | (F.lit(entity_safe) & is_entity(own)), own).otherwise(broken(own)), value)
+
+
 def char_ngrams(lines: DataFrame, shortlist: DataFrame, keys: Sequence[str], n: int = 2, separator: str = "@@", value: str = "value") -> DataFrame:
     """Words outside the shortlist in pieces of n characters joined by the separator."""
-    words = lines.select(*keys, F.posexplode_outer(tokens(F.col(value))).alias("at", "word"))
     known = shortlist.select("word").distinct().withColumn("_known", F.lit(True))
     pieces = F.transform(F.sequence(F.lit(0), F.floor((F.length("word") - 1) / n).cast("int")), lambda i: F.substr(F.col("word"), i * n + 1, F.lit(n)))
-    out = words.join(known, "word", "left").withColumn("word", F.when(F.col("_known"), F.col("word")).otherwise(F.array_join(pieces, separator + " " if not separator.endswith(" ") else separator)))
-    entry = F.when(F.col("at").isNotNull(), F.struct("at", "word"))
-    return out.groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias("_w")).select(*keys, F.array_join(F.transform("_w", lambda e: e["word"]), " ").alias(value))
+    return by_word(lines, known, keys, F.when(F.col("_known"), F.col("word")).otherwise(F.array_join(pieces, separator + " " if not separator.endswith(" ") else separator)), value)
 
 
 def probability_lists(table: DataFrame) -> DataFrame:
