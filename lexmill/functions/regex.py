@@ -56,5 +56,6 @@ def tokens(c: Column) -> Column:
 
 def let(c: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of ``c`` with ``c`` evaluated once: inside a lambda an outer expression would be evaluated for every
-    element."""
+    element. Don't name ``c`` in a lambda inside ``body``, hand it over as an argument (``zip_with``): Spark doesn't find
+    vectorised functions above such a lambda, and fails when they run."""
     return F.get(F.transform(F.array(c), body), F.lit(0))

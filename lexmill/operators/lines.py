@@ -291,7 +291,8 @@ def is_entity(w: Column) -> Column:
 
 
 def broken(w: Column) -> Column:
-    return F.array_join(F.transform(F.split(w, ""), lambda x, i: F.concat(F.when(i == 0, F.lit("<B>")).when(i == F.length(w) - 1, F.lit("<E>")).otherwise(F.lit("<M>")), x)), " ")
+    marks = F.slice(F.concat(F.array(F.lit("<B>")), F.array_repeat(F.lit("<M>"), F.greatest(F.length(w) - 2, F.lit(0))), F.array(F.lit("<E>"))), F.lit(1), F.length(w))
+    return F.array_join(F.zip_with(marks, F.split(w, ""), lambda mark, x: F.concat(mark, x)), " ")
 
 
 @rule("zh", "Replace_Words_Per_Dict")

@@ -23,18 +23,13 @@ def fragments(c: Column, steps: list[tuple[str, Freeze]], ignore_case: bool = Tr
     """Array of struct(text, free)."""
     piece = lambda t, free: F.struct(t.alias("text"), F.lit(free).alias("free"))
     out = F.array(piece(c, True))
-    none = F.filter(out, lambda x: F.lit(False))
+    none = F.array().cast("array<struct<text:string,free:boolean>>")
 
     def cutter(p: str, freeze: Freeze) -> Callable[[Column], Column]:
         def cut(f: Column) -> Column:
-            def pieces(found: Column) -> Column:
-                def at(t: Column, i: Column) -> Column:
-                    m = F.get(found, i)
-                    return F.when(m.isNotNull(), F.array(piece(t, True), piece(freeze(m), False))).when(t != "", F.array(piece(t, True))).otherwise(none)
-
-                return F.flatten(F.transform(F.split(f["text"], p, -1), at))
-
-            return F.when(f["free"], let(F.regexp_extract_all(f["text"], F.lit(p), F.lit(0)), pieces)).otherwise(F.array(f))
+            at = lambda t, m: F.when(m.isNotNull(), F.array(piece(t, True), piece(freeze(m), False))).when(t != "", F.array(piece(t, True))).otherwise(none)
+            found = F.zip_with(F.split(f["text"], p, -1), F.regexp_extract_all(f["text"], F.lit(p), F.lit(0)), at)
+            return F.when(f["free"], F.flatten(found)).otherwise(F.array(f))
 
         return cut
 

@@ -58,7 +58,7 @@ def tokenize(c: Column, lang: str = "en", *, aggressive: bool = False, escape: b
     x = sub(x, [(" +", " "), ("^ ", ""), (" $", "")])
     if held is not None:
         pieces = F.split(x, _HELD)
-        x = let(held, lambda h: F.array_join(F.transform(pieces, lambda p, i: F.concat(p, F.coalesce(F.get(h, i), F.lit("")))), ""))
+        x = F.array_join(F.zip_with(pieces, held, lambda p, h: F.concat(p, F.coalesce(h, F.lit("")))), "")
     x = F.translate(x, _DOT, ".")
     return reduce(lambda y, s: F.replace(y, F.lit(s[0]), F.lit(s[1])), ESCAPES, x) if escape else x
 
@@ -248,8 +248,7 @@ def chinese_sentences(c: Column) -> Column:
         free = F.split(p, "“[^”]+”", -1)
         quotes = F.regexp_extract_all(p, F.lit("“[^”]+”"), F.lit(0))
         cut = lambda t: F.regexp_replace(t, "([。？！])", "$1\ue004")
-        joined = lambda quoted: F.array_join(F.transform(free, lambda t, i: F.concat(cut(t), F.coalesce(F.get(quoted, i), F.lit("")))), "")
-        return F.split(let(quotes, joined), "\ue004")
+        return F.split(F.array_join(F.zip_with(free, quotes, lambda t, quoted: F.concat(cut(t), F.coalesce(quoted, F.lit("")))), ""), "\ue004")
 
     return F.filter(F.transform(F.flatten(F.transform(pieces, inner)), strip), lambda s: s != "")
 

@@ -2,17 +2,23 @@
 
 A specification has ``steps`` (name, type, inputs, outputs, rules, replace_empty_line, disable), ``inputs``,
 ``final_outputs`` and ``startover``. Names of files are names of tables with line_no and value. Consecutive line rules are
-one projection; nothing is materialised between steps, so there is nothing to clean up. Rules are looked up in a registry,
-never evaluated: ``prefix.Name``, where a prefix ending in ``_en`` or ``_zh`` names the language.
+one projection. Rules are looked up in a registry, never evaluated: ``prefix.Name``, where a prefix ending in ``_en`` or
+``_zh`` names the language; a parameter that a rule doesn't have is an error, and one that names a file of words, of
+key-value pairs or of merges is read as a table (at most ``WORDS`` lines, since such lists travel inside the plan).
+
+Rules that order lines (``Sort``, ``Cut_Lines`` ...) run a few jobs while the plan is built: quantile bounds, a count. With
+``spark.checkpoint.dir`` set their input is checkpointed there, so that it is evaluated once.
 """
 
 from __future__ import annotations
 
 import argparse
+import inspect
 import json
 import time
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +31,17 @@ class SpecError(ValueError):
     pass
 
 
+#: The most lines of a file that a parameter names.
+WORDS = 1_000_000
+#: Rule and parameter that name a file: the operator's parameter, and what the lines are.
+NAMED = {
+    ("Replace_Words_Per_Dict", "dictfile"): ("words", "words"), ("Replace_Lower_Char_To_Upper_Word_Line", "upperCharWord"): ("words", "words"), ("Find_Word_Entity", "word_dict"): ("table", "pairs"),
+    ("BD_Break_Line", "voc"): ("voc", "words"), ("BPE_Apply", "code"): ("codes", "merges"), ("BPE_Apply_Line", "code"): ("codes", "merges"),
+}
+#: Parameters of the format that choose between implementations this library has one of.
+IGNORED = {"mode", "script", "model", "user_dict"}
+
+
 @dataclass
 class Step:
     name: str
@@ -68,18 +85,65 @@ def steps_of(spec: Mapping) -> list[Step]:
 # --- line steps -------------------------------------------------------------------------------------------------------
 
 
-def line_rules(rules: Sequence, services: Mapping | None = None) -> Line:
+def line_rules(rules: Sequence, services: Mapping | None = None, table: Callable[[str], DataFrame] | None = None) -> Line:
     """One expression for a list of [name, parameters]. Neighbouring equal space collapses are built once."""
     built, last = [], None
     for name, params in rules:
-        language, own = language_of(name)
+        _, own = language_of(name)
         if own == last == "Remove_Redundant_Spaces":
             continue
-        built.append(lines.get(language, own, **{k: bound(v, services) for k, v in params.items()}))
+        built.append(line_rule(name, params, services, table))
         last = own
     return chain(built)
 
 
+def line_rule(name: str, params: Mapping, services: Mapping | None = None, table: Callable[[str], DataFrame] | None = None) -> Line:
+    language, own = language_of(name)
+    build = lines.REGISTRY.get((language, own)) or lines.REGISTRY.get(("common", own))
+    if build is None:
+        raise KeyError(f"no line operator {own!r} for {language!r}")
+    given = {}
+    for k, v in params.items():
+        v = bound(v, services)
+        if (own, k) in NAMED:
+            k, kind = NAMED[own, k]
+            v = listed(table, v, kind)
+        given[k] = v
+    if own == "BD_Break_Line" and "entity_safe" in given:
+        given["entity_safe"] = truth(given["entity_safe"])
+    return build(**checked(name, build.factory, given))
+
+
+def checked(name: str, f: Callable, params: Mapping) -> Mapping:
+    """The parameters that ``f`` takes; an unknown or missing one is an error."""
+    known = inspect.signature(f).parameters
+    own = {k: v for k, v in params.items() if k in known or k not in IGNORED}
+    try:
+        inspect.signature(f).bind(**own)
+    except TypeError as e:
+        raise SpecError(f"{name}: {e}") from None
+    return own
+
+
+def truth(v) -> bool:
+    return v.lower() == "true" if isinstance(v, str) else bool(v)
+
+
+def listed(table: Callable[[str], DataFrame] | None, v, kind: str):
+    """The lines of the table or tables that ``v`` names; a list of words, a mapping or a list of merges stays."""
+    names = [v] if isinstance(v, str) else v
+    if not isinstance(names, Sequence) or not names or not all(isinstance(n, str) for n in names) or table is None:
+        return v
+    rows = [r["value"] for n in names for r in table(n).where("value is not null").orderBy("line_no").select("value").limit(WORDS + 1).collect()]
+    if len(rows) > WORDS:
+        raise SpecError(f"{names}: more than {WORDS} lines; join a table of this size (lexmill.operators.tables)")
+    if kind == "words":
+        return [w for r in rows if (w := r.strip())]
+    if kind == "pairs":
+        return {f[0].strip(): f[1].strip() for r in rows if len(f := r.split("\t")) > 1}
+    return [tuple(f) for r in rows if len(f := r.split()) == 2 and not r.startswith("#")]
+
+
 def bound(v, services: Mapping | None):
     return services[v[2:]] if isinstance(v, str) and v.startswith("$$") and services and v[2:] in services else v
 
@@ -118,7 +182,7 @@ def lines_only(df: DataFrame, value: Column | str = "value") -> DataFrame:
 
 
 def renumbered(df: DataFrame, keys: Sequence[tuple[Column, bool]]) -> DataFrame:
-    return tables.numbered(df.select("value", *[c for c in df.columns if c == "line_no"]).withColumnRenamed("line_no", "_was") if "line_no" in df.columns else df, keys).select("line_no", "value")
+    return dense(tables.numbered(settled(df.select("value")), keys).select("line_no", "value"))
 
 
 @file_rule("Sort")
@@ -130,8 +194,13 @@ def _sort(ctx, inputs, reverse=0, num_sort=0):
 
 @file_rule("Uniq")
 def _uniq(ctx, inputs):
-    """Equal neighbours; a table that comes sorted has each line once after a grouping by line."""
-    return [inputs[0].groupBy("value").agg(F.min("line_no").alias("line_no")).select("line_no", "value")]
+    """Drops lines equal to the one before. Right behind a sort that is a grouping by line; else lines meet the one
+    before by its position."""
+    if ctx.last == "Sort":
+        return [inputs[0].groupBy("value").agg(F.min("line_no").alias("line_no")).select("line_no", "value")]
+    own = ordinal(inputs[0])
+    before = own.select((F.col("line_no") + 1).alias("line_no"), F.col("value").alias("_before"), F.lit(True).alias("_some"))
+    return [own.join(before, "line_no", "left").where(F.col("_some").isNull() | ~F.col("value").eqNullSafe(F.col("_before"))).select("line_no", "value")]
 
 
 @file_rule("Cut_Lines")
@@ -139,18 +208,35 @@ def _cut(ctx, inputs, start=0, end=0):
     if not 1 <= int(start) <= int(end):
         raise SpecError("Cut_Lines: 1 <= start <= end is required")
     n = ordinal(inputs[0])
-    return [n.where(F.col("line_no").between(int(start), int(end)))]
+    return [dense(n.where(F.col("line_no").between(int(start), int(end))).select((F.col("line_no") - (int(start) - 1)).alias("line_no"), "value"))]
+
+
+def dense(df: DataFrame) -> DataFrame:
+    """Remembers that the positions of ``df`` are 1 to n."""
+    _dense[df] = True
+    return df
+
+
+_dense: WeakKeyDictionary[DataFrame, bool] = WeakKeyDictionary()
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """Evaluated once where the session names a folder for checkpoints."""
+    return df.checkpoint() if df.sparkSession.conf.get("spark.checkpoint.dir", None) else df
 
 
 def ordinal(df: DataFrame) -> DataFrame:
-    """Positions made dense again after lines were dropped."""
-    return tables.numbered(df.withColumnRenamed("line_no", "_was"), [(F.col("_was"), False)]).select("line_no", "value")
+    """Positions made dense again after lines were dropped; a table known to be dense stays as it is."""
+    if df in _dense:
+        return df
+    return dense(tables.numbered(settled(df).withColumnRenamed("line_no", "_was"), [(F.col("_was"), False)]).select("line_no", "value"))
 
 
 @file_rule("Insert_Line")
 def _insert(ctx, inputs, line_num=1, content=""):
     n = ordinal(inputs[0]) if int(line_num) > 1 else inputs[0]
-    return [tables.insert_line(n, int(line_num), content)]
+    out = tables.insert_line(n, int(line_num), content)
+    return [dense(out) if int(line_num) == 1 and n in _dense else out]
 
 
 @file_rule("Replace_Content")
@@ -176,7 +262,8 @@ def _remove_separator(ctx, inputs):
 @file_rule("Split_To_Twin_Files")
 def _split(ctx, inputs, delim="\t"):
     t = tables.split_twin(inputs[0], delim=delim)
-    return [lines_only(t, "left"), lines_only(t, "right")]
+    same = dense if inputs[0] in _dense else lambda x: x
+    return [same(lines_only(t, "left")), same(lines_only(t, "right"))]
 
 
 @file_rule("Split_To_Twin_Files_v2")
@@ -208,7 +295,12 @@ def _select_input(ctx, inputs, input):
 
 @file_rule("Select_Output")
 def _select_output(ctx, inputs, index, output=None):
-    return [inputs[int(i)] for i in index]
+    """The inputs at these places (from 0), named for later steps where ``output`` has names."""
+    if output and len(output) != len(index) or not all(0 <= int(i) < len(inputs) for i in index):
+        raise SpecError(f"Select_Output: index {index} of {len(inputs)} inputs, output {output}")
+    got = [inputs[int(i)] for i in index]
+    ctx.tables |= zip(output or [], got)
+    return got
 
 
 @file_rule("Statistic_Word_Vocab")
@@ -248,7 +340,7 @@ def _words(ctx, inputs):
 
 @file_rule("BD_Break")
 def _break(ctx, inputs, voc, entity_safe="false"):
-    return [tables.break_unknown_words(inputs[0], ctx.table(voc).select(F.trim("value").alias("word")), ["line_no"])]
+    return [tables.break_unknown_words(inputs[0], ctx.table(voc).select(F.trim("value").alias("word")), ["line_no"], entity_safe=truth(entity_safe))]
 
 
 def _prob_rows(df: DataFrame) -> DataFrame:
@@ -337,7 +429,7 @@ def _entities(ctx, inputs, word_entity, baidu_word_entity, google_word_entity):
 
 @file_rule("Replace_Lower_Char_To_Upper_Word")
 def _case(ctx, inputs, upperCharWord=(), source_text=None):
-    words = [r["value"] for n in upperCharWord for r in ctx.table(n).select("value").collect()]
+    words = listed(ctx.table, list(upperCharWord), "words")
     both = inputs[0].join(ctx.table(source_text).select("line_no", F.col("value").alias("_s")), "line_no")
     return [lines_only(both, lines.restore_case_from(F.col("value"), F.col("_s"), words))]
 
@@ -372,8 +464,20 @@ def _translate(ctx, inputs, **params):
     return [lines_only(translated(inputs[0], client), "translation")]
 
 
-@file_rule("Create_ES_Index_If_No_Exists", "Index_to_ElasticSearch")
-def _index(ctx, inputs, **params):
+@file_rule("Create_ES_Index_If_No_Exists")
+def _create_index(ctx, inputs, host="", index="", type=""):
+    """The caller's client creates the index from the mapping in the input unless it is there:
+    ``services={"create_index": function(host, index, type, mapping)}``."""
+    client = (ctx.services or {}).get("create_index")
+    if client is None:
+        raise SpecError("no index client: pass services={'create_index': function}")
+    mapping = "\n".join(r["value"] for r in inputs[0].orderBy("line_no").limit(10_000).collect()) if inputs else ""
+    client(host, index, type, mapping)
+    return inputs[:1]
+
+
+@file_rule("Index_to_ElasticSearch")
+def _index(ctx, inputs, host="", index="", type=""):
     """Documents with their record ids; writing them is the sink's work (``sources.index_sink``)."""
     source = F.get_json_object("value", "$.original_doc.source")
     return [inputs[0].select("line_no", F.to_json(F.struct(documents.record_id(F.coalesce(source, F.lit(""))).alias("id"), F.col("value").alias("doc"))).alias("value"))]
@@ -381,9 +485,29 @@ def _index(ctx, inputs, **params):
 
 @file_rule("Run_Schema")
 def _nested(ctx, inputs, schema, generator=None, rerun=0):
-    """The sub-specification over the lines of its one input; per-file runs are one plan over all files."""
-    sub = Engine(ctx.spark, schema, services=ctx.services)
-    return list(sub.run(dict(zip(sub.inputs, inputs))).values())
+    """Without a generator the sub-specification over the inputs. With ``Generator_Loop_File_List`` the input lists files:
+    the sub-specification runs for each that exists, its results are written under the work directory in a folder of the
+    file's name (with ``rerun`` 0 and ``startover`` 0 results that are there stay), and the two outputs list the files done
+    and the files failed, each with its folder. A failure doesn't end the run."""
+    if generator is None:
+        sub = Engine(ctx.spark, schema, services=ctx.services, workdir=ctx.workdir)
+        return list(sub.run(dict(zip(sub.inputs, inputs))).values())
+    if generator.rpartition(".")[2] != "Generator_Loop_File_List":
+        raise SpecError(f"Run_Schema: unknown generator {generator!r}")
+    if ctx.workdir is None:
+        raise SpecError("Run_Schema over a list of files writes its results: the engine needs a workdir")
+    from lexmill.sources import existing, text_lines
+
+    done, failed = [], []
+    for name in existing(ctx.spark, [r["value"].strip() for r in inputs[0].orderBy("line_no").collect() if r["value"].strip()]):
+        folder = f"{ctx.workdir}/{name.rstrip('/').rpartition('/')[2]}"
+        try:
+            sub = Engine(ctx.spark, schema, services=ctx.services, workdir=folder)
+            sub.write({sub.inputs[0]: text_lines(ctx.spark, name).select("line_no", "value")}, again=bool(int(rerun)) or None)
+            done.append(f"{name}\t{folder}")
+        except Exception as e:
+            failed.append(f"{name}\t{folder}\t{type(e).__name__}")
+    return [ctx.spark.createDataFrame(list(enumerate(x, 1)), "line_no long, value string") for x in (done, failed)]
 
 
 # --- the engine -------------------------------------------------------------------------------------------------------
@@ -392,11 +516,14 @@ def _nested(ctx, inputs, schema, generator=None, rerun=0):
 class Engine:
     """``run`` compiles file pipelines, ``line`` gives a library chain, ``context`` applies a context pipeline."""
 
-    def __init__(self, spark: SparkSession, spec: str | Mapping, services: Mapping | None = None):
-        self.spark, self.spec, self.services = spark, load(spec), services or {}
+    def __init__(self, spark: SparkSession, spec: str | Mapping, services: Mapping | None = None, workdir: str | None = None):
+        self.spark, self.spec, self.services, self.workdir, self.last = spark, load(spec), services or {}, workdir, ""
         self.steps = [s for s in steps_of(self.spec) if not s.disable]
         self.inputs = list(self.spec.get("inputs") or (self.steps[0].inputs if self.steps else []))
         self.final_outputs = list(self.spec.get("final_outputs") or [])
+        named = {o for s in self.steps for o in s.outputs} | {o for s in self.steps if s.type == "file" for _, p in s.rules for o in p.get("output") or []} | set(self.inputs)
+        if missing := [o for o in self.final_outputs if o not in named]:
+            raise SpecError(f"no step makes the final outputs {missing}")
         self.tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
@@ -412,11 +539,12 @@ class Engine:
         made: dict[str, DataFrame] = {}
         for s in self.steps:
             if s.type == "line":
-                out: Tables = list(run_line_step(self.table(s.inputs[0]), line_rules(s.rules, self.services), s.replace_empty_line))
+                out: Tables = list(run_line_step(self.table(s.inputs[0]), line_rules(s.rules, self.services, self.table), s.replace_empty_line))
             elif s.type == "file":
-                out = [self.table(n) for n in s.inputs]
+                out, self.last = [self.table(n) for n in s.inputs], ""
                 for name, params in s.rules:
                     out = self._file_rule(name, out, params)
+                    self.last = language_of(name)[1]
                 if len(out) != len(s.outputs):
                     raise SpecError(f"step {s.name!r}: {len(out)} results for {len(s.outputs)} outputs")
             else:
@@ -425,17 +553,37 @@ class Engine:
             self.tables |= zip(s.outputs, out)
         return {n: self.tables[n] for n in self.final_outputs or [n for n in made if n != "_"]}
 
+    def write(self, inputs: Mapping[str, DataFrame], again: bool | None = None) -> bool:
+        """Runs and writes the final outputs as text under the work directory. Without ``again`` the specification's
+        ``startover`` decides; where it is 0 and all results are there, nothing is run. True if it ran."""
+        from lexmill.sources import existing, write_lines
+
+        again = bool(int(self.spec.get("startover", 1))) if again is None else again
+        paths = [f"{self.workdir}/{n}" for n in self.final_outputs]
+        if not again and paths and len(existing(self.spark, paths)) == len(paths):
+            return False
+        for name, t in self.run(inputs).items():
+            write_lines(t.orderBy("line_no"), f"{self.workdir}/{name}")
+        return True
+
     def _file_rule(self, name: str, inputs: Tables, params: Mapping) -> Tables:
         language, own = language_of(name)
         params = {k: bound(v, self.services) for k, v in params.items()}
         own = "Translate" if own.startswith("Translate_") else own  # every translator is the caller's client
         if own in FILE_RULES:
-            return FILE_RULES[own](self, inputs, **params)
-        operator = lines.get(language, own, **params)  # a line rule over a whole table
+            takes = inspect.signature(FILE_RULES[own]).parameters
+            own_params = {k: v for k, v in params.items() if k in takes or k not in IGNORED or "params" in takes}
+            try:
+                inspect.signature(FILE_RULES[own]).bind(self, inputs, **own_params)
+            except TypeError as e:
+                raise SpecError(f"{name}: {e}") from None
+            return FILE_RULES[own](self, inputs, **own_params)
+        operator = line_rule(name, params, self.services, self.table)  # a line rule over a whole table
         return [d.select("line_no", operator(F.col("value")).alias("value")) for d in inputs[:1]]
 
     def line(self) -> Line:
-        return chain([line_rules(s.rules, self.services) for s in self.steps if s.type in {"sole_line", "line"}])
+        """The library form: all steps as one operator for lines of any table."""
+        return chain([line_rules(s.rules, self.services, self.table) for s in self.steps if s.type in {"sole_line", "line"}])
 
     def context(self, df: DataFrame) -> DataFrame:
         """Context rules over rows: parameters ``$$name`` are columns, a falsy result leaves the old value."""
@@ -464,8 +612,8 @@ class Engine:
             new = [tokenizer.english_sentences(at["line"])]
         else:
             if own in {"BPE_Apply_Line", "Pre_Replacing_Rule", "Post_Replacing_Rule"}:
-                init = {k: v for k, v in init.items() if k in {"codes", "separator", "whole", "rules"}} | self.services.get(own, {})
-            new = [lines.get(language, own, **init)(at["line"])]
+                init = {k: v for k, v in init.items() if k in {"code", "codes", "separator", "whole", "rules"}} | self.services.get(own, {})
+            new = [line_rule(name, init, self.services, self.table)(at["line"])]
         kinds = dict(df.dtypes)
         for o, c in zip(outputs, new):
             truthy = F.size(c) > 0 if kinds.get(o, "").startswith("array") or own.startswith("Align") else F.length(c) > 0
@@ -481,15 +629,13 @@ def main(argv: Sequence[str] | None = None) -> None:
     p.add_argument("--schema", required=True)
     p.add_argument("--workdir", required=True)
     a = p.parse_args(argv)
-    from lexmill.sources import text_lines, write_lines
+    from lexmill.sources import text_lines
 
     began = time.time()
     spark = SparkSession.builder.appName("lexmill").getOrCreate()
-    engine = Engine(spark, a.schema)
-    given = {n: text_lines(spark, f).select("line_no", "value") for n, f in zip(engine.inputs, a.infiles or engine.inputs)}
-    for name, table in engine.run(given).items():
-        write_lines(table.orderBy("line_no"), f"{a.workdir}/{name}", again=bool(engine.spec.get("startover", 1)))
-    print(f"took {time.time() - began:.1f} s")
+    engine = Engine(spark, a.schema, workdir=a.workdir)
+    ran = engine.write({n: text_lines(spark, f).select("line_no", "value") for n, f in zip(engine.inputs, a.infiles or engine.inputs)})
+    print(f"took {time.time() - began:.1f} s" if ran else "all final outputs are there: nothing to do")
 
 
 if __name__ == "__main__":

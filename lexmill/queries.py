@@ -454,7 +454,7 @@ _EN = ["Remove_Single_Quotation", "Norm_Ellipsis", "Remove_Square_Content", "Rem
 
 
 def train_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs split, each side cleaned with its rows kept, zipped, token rows dropped, distinct: the training-set shape."""
+    """Pairs split, each side cleaned with its rows kept, zipped, token rows dropped, repeats dropped: the training-set shape."""
     clean = lambda i, o: {"name": i, "type": "line", "replace_empty_line": "REMOVETHISLINE", "inputs": [i], "rules": [[f"rules_en.{r}", {}] for r in _EN], "outputs": [o, "_"]}
     spec = {"inputs": ["pairs"], "final_outputs": ["final"], "steps": [
         {"name": "split", "type": "file", "inputs": ["pairs"], "rules": [["common.Split_To_Twin_Files", {}]], "outputs": ["en", "zh"]}, clean("en", "en.clean"), clean("zh", "zh.clean"),
@@ -474,7 +474,7 @@ def _cte_chain(rules: list[str], language: str, start: str, prefix: str) -> str:
 
 _last = len(_EN) - 1
 add("pipeline_train_set", train_set, f"""WITH {_PAIRS_SQL}, s AS (SELECT pair_id, nullif(replace(src, chr(10), ' '), '') AS v FROM pairs), t AS (SELECT pair_id, nullif(replace(tgt, chr(10), ' '), '') AS v FROM pairs),
-{_cte_chain(_EN, 'en', 's', 'sa')}, {_cte_chain(_EN, 'en', 't', 'tb')}, z AS (SELECT DISTINCT coalesce(a.v, 'REMOVETHISLINE') || chr(9) || coalesce(b.v, 'REMOVETHISLINE') AS value FROM sa{_last} a JOIN tb{_last} b USING (pair_id)) SELECT value FROM z WHERE NOT contains(value, 'REMOVETHISLINE')""")
+{_cte_chain(_EN, 'en', 's', 'sa')}, {_cte_chain(_EN, 'en', 't', 'tb')}, z AS (SELECT pair_id, coalesce(a.v, 'REMOVETHISLINE') || chr(9) || coalesce(b.v, 'REMOVETHISLINE') AS value FROM sa{_last} a JOIN tb{_last} b USING (pair_id)), k AS (SELECT value, lag(value) OVER (ORDER BY pair_id) AS before FROM z WHERE NOT contains(value, 'REMOVETHISLINE')) SELECT value FROM k WHERE before IS DISTINCT FROM value""")
 
 
 def line_step_removed(spark: SparkSession, sf_dir: str) -> DataFrame:

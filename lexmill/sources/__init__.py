@@ -9,12 +9,18 @@ from pyspark.sql import functions as F
 
 
 def text_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """file, line_no (from 1 within a file), value. Compressed text is read as it is; a file keeps its order because it
-    is read as one split, so give many files rather than one very large one where positions matter."""
-    raw = spark.read.text(paths if isinstance(paths, str) else list(paths)).select(F.col("_metadata.file_path").alias("file"), "value", F.monotonically_increasing_id().alias("_at"))
+    """file, line_no (long, from 1 within a file), value. Compressed text is read as it is.
+
+    A large file is read as several splits. A split's lines are counted first (one row a split); the counts before it are
+    its offset, and lines are numbered where they were read, so no file meets in one task."""
+    split = ["file", "_block"]
+    raw = spark.read.text(paths if isinstance(paths, str) else list(paths)).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"), "value", F.monotonically_increasing_id().alias("_at"))
     from pyspark.sql.window import Window
 
-    return raw.withColumn("line_no", F.row_number().over(Window.partitionBy("file").orderBy("_at"))).select("file", "line_no", "value")
+    counts = raw.groupBy(*split).agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+    before = counts.select(*split, "_first", (F.sum("_n").over(Window.partitionBy("file").orderBy("_block")) - F.col("_n")).alias("_before"))
+    return raw.join(F.broadcast(before), split).select("file", (F.col("_at") - F.col("_first") + F.col("_before") + 1).alias("line_no"), "value")
 
 
 def whole_texts(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -24,7 +30,10 @@ def whole_texts(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
 
 def listed_files(spark: SparkSession, path: str) -> list[str]:
     """The existing files named in a list, one a line; missing ones are left out."""
-    names = [r["value"].strip() for r in spark.read.text(path).collect() if r["value"].strip()]
+    return existing(spark, [r["value"].strip() for r in spark.read.text(path).collect() if r["value"].strip()])
+
+
+def existing(spark: SparkSession, names: Sequence[str]) -> list[str]:
     hadoop = spark.sparkContext._jsc.hadoopConfiguration()
     jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     return [n for n in names if jpath(n).getFileSystem(hadoop).exists(jpath(n))]
@@ -48,9 +57,11 @@ def replacement_rules(spark: SparkSession, path: str) -> DataFrame:
 
 
 def character_pairs(spark: SparkSession, path: str) -> dict[str, str]:
-    """One-to-one character pairs, two tab-separated characters a line; at most the Unicode range."""
-    rows = spark.read.text(path).select(F.split("value", "\t").alias("f")).where(F.size("f") == 2).limit(1_114_112).collect()
-    return {r["f"][0]: r["f"][1] for r in rows if len(r["f"][0]) == len(r["f"][1]) == 1}
+    """One-to-one character pairs, two tab-separated characters a line; the last line of a character counts. There are no
+    more rows than characters."""
+    f = F.split("value", "\t")
+    rows = text_lines(spark, path).where((F.size(f) == 2) & (F.length(F.get(f, 0)) == 1) & (F.length(F.get(f, 1)) == 1))
+    return {r["a"]: r["b"] for r in rows.groupBy(F.get(f, 0).alias("a")).agg(F.max_by(F.get(f, 1), "line_no").alias("b")).orderBy("a").collect()}
 
 
 def json_documents(spark: SparkSession, path: str) -> DataFrame:
