@@ -75,13 +75,28 @@ def corpus_bleu(hyp: DataFrame, ref: DataFrame, key: str = "sent_id", value: str
     return _final(stats.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names)), [])
 
 
+def c_rounded(x: Column, digits: int) -> Column:
+    """``x`` rounded as C prints it: by the exact value of the double, a true tie to the even digit. Java's formatter rounds
+    the shortest decimal form, a tie up. Where the product with the power of ten looks like a tie, its exact error decides
+    (the factor is cut in halves whose products are exact)."""
+    m = F.lit(float(10**digits))
+    y = x * m
+    down = F.floor(y).cast("double")
+    big = x * F.lit(134217729.0)
+    high = big - (big - x)
+    error = (high * m - y) + (x - high) * m
+    up = (y - down > 0.5) | ((y - down == 0.5) & ((error > 0) | ((error == 0) & (F.pmod(down, F.lit(2.0)) == 1))))
+    return (down + up.cast("double")) / m
+
+
 def bleu_report(hyp: DataFrame, ref: DataFrame, key: str = "sent_id", value: str = "value") -> DataFrame:
     """order, value: the report's lines, the document line first (it starts with -1, so a numeric sort keeps it there)."""
     s, d = sentence_bleu(hyp, ref, key, value), corpus_bleu(hyp, ref, key, value)
     tail = "BLEU = %.2f, %.1f/%.1f/%.1f/%.1f (BP=%.3f, ratio=%.3f, hyp_len=%d, ref_len=%d)"
-    args = ["bleu", "p1", "p2", "p3", "p4", "bp", F.when(F.col("ref_len") > 0, F.col("hyp_len") / F.col("ref_len")).otherwise(F.lit(0.0)), "hyp_len", "ref_len"]
+    ratio = F.when(F.col("ref_len") > 0, F.col("hyp_len") / F.col("ref_len")).otherwise(F.lit(0.0))
+    args = [c_rounded(F.col("bleu"), 2), *(c_rounded(F.col(f"p{n}"), 1) for n in range(1, 5)), c_rounded(F.col("bp"), 3), c_rounded(ratio, 3), "hyp_len", "ref_len"]
     text = hyp.select(key, F.col(value).alias("_h")).join(ref.select(key, F.col(value).alias("_r")), key)
-    lines = s.join(text, key).select(F.col(key).cast("long").alias("order"), F.format_string("%.2f\tline_num:%d\t%s <==> %s\t" + tail, "bleu", F.col(key).cast("long"), "_h", "_r", *args).alias("value"))
+    lines = s.join(text, key).select(F.col(key).cast("long").alias("order"), F.format_string("%.2f\tline_num:%d\t%s <==> %s\t" + tail, args[0], F.col(key).cast("long"), "_h", "_r", *args).alias("value"))
     return lines.unionByName(d.select(F.lit(-1).cast("long").alias("order"), F.format_string("-1============= Document " + tail + "=============", *args).alias("value")))
 
 

@@ -163,50 +163,90 @@ def tagged_sql(steps: list[tuple[str, str]], small: bool, tag: str, ignore: bool
     return f"replace(replace({e}, '\x06', {sql_text(tag)}), '\x02', ' ')"
 
 
+_HEX, _OWN = "0123456789ABCDEF", "".join(map(chr, range(0xE0A0, 0xE0B0)))
+_ANY_TAG = "<([A-Za-z]+)>[^<]+</[A-Za-z]+>"  # RE2 has no back-references; no line here closes another tag
+
+
+def frozen_sql(steps: list[tuple[str, str]], tag: str, small: bool, ignore: bool = True) -> str:
+    """As ``tagged_sql`` for matches that keep their text: it is held as hexadecimal in private-use characters, which no
+    later pattern matches. Modes: keep (as it is), slot (in hexadecimal between tags), tag."""
+    e, own = "v", "translate(hex(encode(split_part(x, '\x05', 1))), '" + _HEX + "', '" + _OWN + "')"
+    for i, (pattern, mode) in enumerate(steps):
+        if i:
+            e = f"regexp_replace(regexp_replace({e}, '\x02\x02+', '\x02', 'g'), '^\x02', '')"
+        e = duck_replace(e, f"({pattern})", "\x02\x04\\1\x05\x03", ignore)
+        e = f"replace(regexp_replace(replace({e}, '\x03\x02', '\x02'), '\x03$', ''), '\x03', '\x02')"
+        kept, made = f"'\x07' || {own} || '\x08'", {"slot": f"'\x0e' || {own} || '\x0f'", "tag": "'\x06'"}.get(mode, "")
+        new = kept if mode == "keep" else f"CASE WHEN regexp_full_match(split_part(x, '\x05', 1), '[0-9]{{1,3}}') THEN {kept} ELSE {made} END" if small else made
+        e = f"array_to_string(list_transform(string_split({e}, '\x04'), lambda x: CASE WHEN contains(x, '\x05') THEN {new} || split_part(x, '\x05', 2) ELSE x END), '')"
+    back = f"array_to_string(list_transform(string_split({e}, '\x07'), lambda x: CASE WHEN contains(x, '\x08') THEN decode(unhex(translate(split_part(x, '\x08', 1), '{_OWN}', '{_HEX}'))) || split_part(x, '\x08', 2) ELSE x END), '')"
+    bare = tag.strip("<>")
+    return f"replace(replace(replace(replace(translate({back}, '{_OWN}', '{_HEX}'), '\x0e', '<{bare}>'), '\x0f', '</{bare}>'), '\x06', {sql_text(tag)}), '\x02', ' ')"
+
+
 for _language, _numbers, _amounts in (("en", patterns.ENGLISH_NUMBERS, patterns.ENGLISH_AMOUNTS), ("zh", patterns.CHINESE_NUMBERS, patterns.CHINESE_AMOUNTS)):
     _all = _numbers if _language == "en" else _amounts + _numbers
-    add_line(_language, "Slot_Tag_Number", tagged_sql([(p, "tag") for p in _numbers], False, "N") if _language == "en" else None, number_tag="N")  # a Chinese month's digits can't be protected in RE2
+    add_line(_language, "Slot_Tag_Number", tagged_sql([(p, "tag") for p in _numbers], False, "N") if _language == "en" else frozen_sql([(patterns.CHINESE_MONTH, "keep"), *((p, "tag") for p in _numbers)], "N", False), number_tag="N")
     add_line(_language, "Slot_Tag_Number_v2", tagged_sql([(p, "tag") for p in _all], True, "N"), number_tag="N")
-    add_line(_language, "Slot_Tag_Number_v3", number_tag="<N>")
+    add_line(_language, "Slot_Tag_Number_v3", frozen_sql([(_ANY_TAG, "keep"), *((p, "slot") for p in _all)], "<N>", True), number_tag="<N>")
     add_line(_language, "Slot_Tag_Number_v4", tagged_sql([(p, "tag") for p in _amounts], False, "N"), number_tag="N")
-    add_line(_language, "Slot_Tag_Number_v5", number_tag="<N>")
-add_line("en", "Slot_Tag_Notrans", notrans_tag="NOTRANS")
+    add_line(_language, "Slot_Tag_Number_v5", frozen_sql([(_ANY_TAG, "keep"), *((p, "slot") for p in _amounts)], "<N>", False), number_tag="<N>")
+add_line("en", "Slot_Tag_Notrans", frozen_sql([(_ANY_TAG, "keep"), *((p, "slot") for p in patterns.NOT_TRANSLATED)], "NOTRANS", False, False), notrans_tag="NOTRANS")
 
 # --- tokenizer, sentences, subwords, dictionary -----------------------------------------------------------------------
 
 _A, _AN = r"\p{L}", r"\p{L}\p{Nd}"
 _TOK = [(r"\s+", " "), (r"[\x00-\x1f]", ""), (" +", " "), ("^ ", ""), (" $", ""), (rf"([^{_AN}\s.'`,\-])", r" \1 "), (r"(\.\.+)", " \\1 "), (" +", " "), (" $", ""), (r"([^\p{N}]),", r"\1 , "), (r",([^\p{N}])", r" , \1")]
 _APOS = [(f"([^{_A}])'([^{_A}])", r"\1 ' \2"), (f"([^{_A}\\p{{N}}])'([{_A}])", r"\1 ' \2"), (f"([{_A}])'([^{_A}])", r"\1 ' \2"), (f"([{_A}])'([{_A}])", r"\1 '\2"), (r"([\p{N}])'(s)", r"\1 '\2")]
-_WORDS = f"regexp_split_to_array({_chain_sql('(chr(32) || v || chr(32))', _TOK + _APOS)}, '\\s')"
-_known = "[" + ", ".join(map(sql_text, tokenizer.NONBREAKING["en"])) + "]"
-_numeric = "[" + ", ".join(map(sql_text, tokenizer.NUMERIC_ONLY["en"])) + "]"
+_APOS_FR = [(f"([^{_A}])'([^{_A}])", r"\1 ' \2"), (f"([^{_A}])'([{_A}])", r"\1 ' \2"), (f"([{_A}])'([^{_A}])", r"\1 ' \2"), (f"([{_A}])'([{_A}])", r"\1' \2")]
 _stem, _next = "regexp_extract(w, '^(\\S+)\\.$', 1)", "coalesce(ws[i + 1], '')"
-_stays = f"((contains({_stem}, '.') AND regexp_matches({_stem}, '\\p{{L}}')) OR list_contains({_known}, {_stem}) OR regexp_matches({_next}, '^\\p{{Ll}}') OR (list_contains({_numeric}, {_stem}) AND regexp_matches({_next}, '^[0-9]')) OR regexp_matches(w, '^\\.+$'))"
-_joined = f"array_to_string(list_transform(ws, lambda w, i: CASE WHEN {_stem} <> '' AND NOT {_stays} THEN {_stem} || ' .' ELSE w END), ' ')"
-_escaped = reduce(lambda e, s: f"replace({e}, {sql_text(s[0])}, {sql_text(s[1])})", tokenizer.ESCAPES, _chain_sql(_joined, [(" +", " "), ("^ ", ""), (" $", "")]))
+def tokenizer_sql(lang: str = "en", aggressive: bool = False, escape: bool = True) -> str:
+    """The tokenizer without look-around, over v of ``lines``."""
+    listed = lambda words: "[" + ", ".join(map(sql_text, words)) + "]::VARCHAR[]"
+    stays = f"((contains({_stem}, '.') AND regexp_matches({_stem}, '\\p{{L}}')) OR list_contains({listed(tokenizer.NONBREAKING[lang])}, {_stem}) OR regexp_matches({_next}, '^\\p{{Ll}}') OR (list_contains({listed(tokenizer.NUMERIC_ONLY.get(lang, []))}, {_stem}) AND regexp_matches({_next}, '^[0-9]')) OR regexp_matches(w, '^\\.+$'))"
+    joined = f"array_to_string(list_transform(ws, lambda w, i: CASE WHEN {_stem} <> '' AND NOT {stays} THEN {_stem} || ' .' ELSE w END), ' ')"
+    clean = _chain_sql(joined, [(" +", " "), ("^ ", ""), (" $", "")])
+    out = reduce(lambda e, s: f"replace({e}, {sql_text(s[0])}, {sql_text(s[1])})", tokenizer.ESCAPES, clean) if escape else clean
+    steps = [*_TOK[:6], *([(rf"([{_AN}])-([{_AN}])", r"\1 @-@ \2")] * 2 if aggressive else []), *_TOK[6:]]
+    words = f"regexp_split_to_array({_chain_sql('(chr(32) || v || chr(32))', steps + {'en': _APOS, 'fr': _APOS_FR}[lang])}, '\\s')"
+    return f"WITH {LINES_SQL}, own AS (SELECT doc_id, line_no, {words} AS ws FROM (SELECT doc_id, line_no, value AS v FROM lines WHERE value <> '')), out AS (SELECT doc_id, line_no, {out} AS value FROM own) SELECT * FROM out WHERE value <> ''"
 
 
 def _tokenized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return all_lines(spark, sf_dir).select("doc_id", "line_no", lines.get("common", "General_Tokenizer", lang="en")(F.col("value")).alias("value")).where("value is not null")
 
 
-add("tokenize_en", _tokenized, f"WITH {LINES_SQL}, own AS (SELECT doc_id, line_no, {_WORDS} AS ws FROM (SELECT doc_id, line_no, value AS v FROM lines WHERE value <> '')), out AS (SELECT doc_id, line_no, {_escaped} AS value FROM own) SELECT * FROM out WHERE value <> ''")
+add("tokenize_en", _tokenized, tokenizer_sql())
+
+
 def _late(language: str, rule: str, **params) -> Callable[[Column], Column]:
     """Built when it is used: vectorised functions need a session."""
     return lambda c: lines.get(language, rule, **params)(c)
 
 
 for _name, _op in {
-    "tokenize_fr": lambda c: tokenizer.tokenize(c, "fr"), "tokenize_aggressive": lambda c: tokenizer.tokenize(c, "en", aggressive=True, escape=False), "tokenize_penn": tokenizer.tokenize_penn, "detokenize_penn": lambda c: tokenizer.detokenize_penn(tokenizer.tokenize_penn(c)),
+    "tokenize_fr": _late("common", "General_Tokenizer", lang="fr"), "tokenize_aggressive": _late("common", "General_Tokenizer", lang="en", aggressive=True, escape=False), "tokenize_penn": tokenizer.tokenize_penn, "detokenize_penn": lambda c: tokenizer.detokenize_penn(tokenizer.tokenize_penn(c)),
     "sentence_tokenizer": _late("common", "General_Sentence_Tokenizer"), "tokenizer_urls": _late("common", "General_Tokenizer_v2"), "detokenize_en": lambda c: tokenizer.detokenize(tokenizer.tokenize(c)), "detokenize_bracketfix": lambda c: lines.get("common", "General_Sentence_Detokenizer_Bracketfix")(tokenizer.tokenize(c)),
     "english_sentences": tokenizer.english_sentences, "chinese_sentences": tokenizer.chinese_sentences, "sentences_joined": _late("en", "Segment_EN_lines_To_Sentences_v2"),
     "bpe_apply": _late("common", "BPE_Apply_Line", codes=[("t", "h"), ("th", "e</w>"), ("o", "n"), ("i", "on"), ("on", "</w>")]),
     "replace_before": _late("common", "Pre_Replacing_Rule", rules=[("1", "of the", "<T>", "", ""), ("2", "of", "OF", "", "")]), "replace_after": _late("common", "Post_Replacing_Rule", rules=[("1", "", "", "of the", "OF_THE"), ("2", "", "", "of", "OF")]),
 }.items():
     add(_name, lambda spark, sf_dir, op=_op: all_lines(spark, sf_dir).select("doc_id", "line_no", op(F.col("value")).alias("value")).where("value is not null"))
-_two = lambda v: f"regexp_replace(regexp_replace({v}, '(^| )of the($| )', '\\1OF_THE\\2', 'g'), '(^| )of the($| )', '\\1OF_THE\\2', 'g')"
-_after = reduce(lambda e, _: f"regexp_replace({e}, '(^| )of($| )', '\\1OF\\2', 'g')", range(2), _two("v"))
-ORACLES["replace_after"] = f"WITH {LINES_SQL}, own AS (SELECT doc_id, line_no, {_after} AS value FROM (SELECT doc_id, line_no, value AS v FROM lines WHERE value <> '')) SELECT * FROM own WHERE value <> ''"
+ORACLES |= {"tokenize_fr": tokenizer_sql("fr"), "tokenize_aggressive": tokenizer_sql(aggressive=True, escape=False)}
+_MERGES = [("t", "h"), ("th", "e</w>"), ("o", "n"), ("i", "on"), ("on", "</w>")]
+_symbols = "chr(1) || regexp_replace(array_to_string(string_split(w, ''), chr(1)), '$', '</w>') || chr(1)"
+_symbols = reduce(lambda e, p: f"replace({e}, chr(1) || '{p[0]}' || chr(1) || '{p[1]}' || chr(1), chr(1) || '{p[0]}{p[1]}' || chr(1))", [m for m in _MERGES for _ in range(2)], _symbols)  # twice: neighbours share a mark
+_pieces_of = f"replace(replace(trim({_symbols}, chr(1)), '</w>', ''), chr(1), '@@ ')"
+ORACLES["bpe_apply"] = f"WITH {LINES_SQL}, own AS (SELECT doc_id, line_no, array_to_string(list_transform({tokens_sql('value')}, lambda w: CASE WHEN regexp_full_match(w, '<[A-Za-z]+(:.*)?>') THEN w ELSE {_pieces_of} END), ' ') AS value FROM lines WHERE value <> '') SELECT * FROM own WHERE value <> ''"
+
+
+def _phrases_sql(steps: list[tuple[str, str]]) -> str:
+    """Phrases between blanks, longest first; each twice, since neighbours share a blank."""
+    e = reduce(lambda x, s: f"regexp_replace({x}, '(^| ){s[0]}($| )', '\\1{s[1]}\\2', 'g')", [s for s in steps for _ in range(2)], "v")
+    return f"WITH {LINES_SQL}, own AS (SELECT doc_id, line_no, {e} AS value FROM (SELECT doc_id, line_no, value AS v FROM lines WHERE value <> '')) SELECT * FROM own WHERE value <> ''"
+
+
+ORACLES |= {"replace_before": _phrases_sql([("of the", "<T:1>"), ("of", "OF")]), "replace_after": _phrases_sql([("of the", "OF_THE"), ("of", "OF")])}
 
 
 def _bpe_learn(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -304,20 +344,31 @@ _ok = "ref_len > 0 AND hyp_len > 0"
 _BLEU_COLS = f"round(CASE WHEN {_ok} THEN ({_BP}) * exp(({_LOG}) / 4) ELSE 0.0 END * 100, 6) AS bleu, {', '.join(f'round({p} * 100, 6) AS p{n}' for n, p in enumerate(_P, 1))}, round(CASE WHEN {_ok} THEN {_BP} ELSE 0.0 END, 6) AS bp, CAST(hyp_len AS BIGINT) AS hyp_len, CAST(ref_len AS BIGINT) AS ref_len"
 add("bleu_sentence", lambda s, d: _rounded(scoring.sentence_bleu(*_hyp_ref(s, d))), f"WITH {_BLEU_SQL} SELECT pair_id AS sent_id, {_BLEU_COLS} FROM s")
 add("bleu_corpus", lambda s, d: _rounded(scoring.corpus_bleu(*_hyp_ref(s, d))), f"WITH {_BLEU_SQL}, a AS (SELECT {', '.join(f'sum({c}) AS {c}' for c in ['hyp_len', 'ref_len', *(f'{x}{n}' for n in range(1, 5) for x in 'ct')])} FROM s) SELECT {_BLEU_COLS} FROM a")
-add("bleu_report", lambda s, d: scoring.bleu_report(*_hyp_ref(s, d)))
+_BLEU_TAIL = "printf('BLEU = %.2f, %.1f/%.1f/%.1f/%.1f (BP=%.3f, ratio=%.3f, hyp_len=%d, ref_len=%d)', bleu, p1, p2, p3, p4, bp, CASE WHEN ref_len > 0 THEN hyp_len / ref_len ELSE 0.0 END, hyp_len, ref_len)"
+_BLEU_RAW = _BLEU_COLS.replace("round(", "(").replace(", 6)", ")")
+add("bleu_report", lambda s, d: scoring.bleu_report(*_hyp_ref(s, d)), f"""WITH {_BLEU_SQL}, b AS (SELECT pair_id, {_BLEU_RAW} FROM s), a AS (SELECT {', '.join(f'sum({c}) AS {c}' for c in ['hyp_len', 'ref_len', *(f'{x}{n}' for n in range(1, 5) for x in 'ct')])} FROM s), d AS (SELECT {_BLEU_RAW} FROM a)
+SELECT pair_id AS "order", printf('%.2f', bleu) || chr(9) || 'line_num:' || pair_id || chr(9) || src || ' <==> ' || tgt || chr(9) || {_BLEU_TAIL} AS value FROM b JOIN pairs USING (pair_id) UNION ALL SELECT -1, '-1============= Document ' || {_BLEU_TAIL} || '=============' FROM d""")
 _CG = " UNION ALL ".join(f"SELECT pair_id, {n} AS n, substr(v, i, {n}) AS g FROM (SELECT pair_id, v, unnest(range(1, length(v) - {n - 2})) AS i FROM {{side}})" for n in range(1, 7))
 add("chrf", lambda s, d: _rounded(scoring.chrf(*_hyp_ref(s, d))),
     f"""WITH {_PAIRS_SQL}, h AS (SELECT pair_id, regexp_replace(src, '\\s+', '', 'g') AS v FROM pairs), r AS (SELECT pair_id, regexp_replace(tgt, '\\s+', '', 'g') AS v FROM pairs),
 hg AS (SELECT pair_id, n, g, count(*) AS c FROM ({_CG.format(side='h')}) GROUP BY ALL), rg AS (SELECT pair_id, n, g, count(*) AS c FROM ({_CG.format(side='r')}) GROUP BY ALL),
 b AS (SELECT n, sum(least(coalesce(hg.c, 0), coalesce(rg.c, 0))) AS k, sum(coalesce(hg.c, 0)) AS h, sum(coalesce(rg.c, 0)) AS r FROM hg FULL JOIN rg USING (pair_id, n, g) GROUP BY n), a AS (SELECT coalesce(sum(k / h) FILTER (h > 0 AND r > 0), 0) / 6 AS p, coalesce(sum(k / r) FILTER (h > 0 AND r > 0), 0) / 6 AS q FROM b)
 SELECT round(CASE WHEN 9 * p + q > 0 THEN 10 * p * q / (9 * p + q) ELSE 0.0 END, 6) AS chrf, round(p, 6) AS precision, round(q, 6) AS recall FROM a""")
-_ASCII = "regexp_full_match(src || tgt, '[\\x00-\\x7f]*')"
-add("levenshtein_char", lambda s, d: turn_pairs(s, d).where(~F.concat("src", "tgt").rlike("[^\\x00-\\x7f]")).select("pair_id", scoring.edit_distance(F.col("src"), F.col("tgt")).alias("distance"), F.round(scoring.fuzzy_match(F.col("src"), F.col("tgt")), 6).alias("score")),
-    f"WITH {_PAIRS_SQL} SELECT pair_id, CAST(levenshtein(src, tgt) AS INTEGER) AS distance, round(1 - levenshtein(src, tgt) / greatest(length(src), length(tgt)), 6) AS score FROM pairs WHERE {_ASCII}")
-_SHORT = [("a b c", "a c"), ("the cat sat", "the cat sat down"), ("x", "y z"), ("", "a b"), ("kitten sitting", "sitting kitten")]
-add("levenshtein_word", lambda s, d: s.createDataFrame(_SHORT, "a string, b string").select("a", "b", scoring.edit_distance(F.col("a"), F.col("b"), "word").alias("distance"), F.round(scoring.fuzzy_match(F.col("a"), F.col("b"), "word"), 6).alias("score")),
-    "SELECT * FROM (VALUES ('a b c', 'a c', 1, 0.666667), ('the cat sat', 'the cat sat down', 1, 0.75), ('x', 'y z', 2, 0.0), ('', 'a b', 2, 0.0), ('kitten sitting', 'sitting kitten', 2, 0.0)) AS t(a, b, distance, score)")
-# The SQL of levenshtein_char holds ASCII pairs (its function counts bytes), that of levenshtein_word five pairs; these return all turn pairs.
+
+
+def _part_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every part's description beside the next part's."""
+    p = table(spark, sf_dir, "part").select("p_partkey", F.concat_ws(" ", "p_name", "p_brand", "p_type", F.col("p_size").cast("string")).alias("text"))
+    return p.join(p.select((F.col("p_partkey") - 1).alias("p_partkey"), F.col("text").alias("next")), "p_partkey")
+
+
+_coded = lambda side: f"array_to_string(list_transform({side}, lambda w: chr(64 + list_position(list_distinct(list_concat(a, b)), w)::INT)), '')"
+_PART_SQL = "t AS (SELECT p_partkey, concat_ws(' ', p_name, p_brand, p_type, p_size::VARCHAR) AS text FROM part), q AS (SELECT t.p_partkey, t.text, u.text AS next FROM t JOIN t u ON u.p_partkey = t.p_partkey + 1)"
+add("levenshtein_word", lambda s, d: _part_pairs(s, d).select("p_partkey", scoring.edit_distance(F.col("text"), F.col("next"), "word").alias("distance"), F.round(scoring.fuzzy_match(F.col("text"), F.col("next"), "word"), 6).alias("score")),
+    f"WITH {_PART_SQL}, w AS (SELECT p_partkey, string_split(text, ' ') AS a, string_split(next, ' ') AS b FROM q), c AS (SELECT p_partkey, levenshtein({_coded('a')}, {_coded('b')}) AS n, greatest(len(a), len(b)) AS m FROM w) SELECT p_partkey, CAST(n AS INTEGER) AS distance, round(1 - n / m, 6) AS score FROM c")
+add("levenshtein_char", lambda s, d: _part_pairs(s, d).select("p_partkey", scoring.edit_distance(F.col("text"), F.col("next")).alias("distance"), F.round(scoring.fuzzy_match(F.col("text"), F.col("next")), 6).alias("score")),
+    f"WITH {_PART_SQL} SELECT p_partkey, CAST(levenshtein(text, next) AS INTEGER) AS distance, round(1 - levenshtein(text, next) / greatest(length(text), length(next)), 6) AS score FROM q")
+# SQL's function counts bytes, so its pairs are ASCII texts; these are turns of all languages, without SQL.
 for _mode in ("char", "word"):
     add(f"levenshtein_{_mode}_whole", lambda s, d, m=_mode: turn_pairs(s, d).select("pair_id", scoring.edit_distance(F.col("src"), F.col("tgt"), m).alias("distance"), F.round(scoring.fuzzy_match(F.col("src"), F.col("tgt"), m), 6).alias("score")))
 
@@ -382,8 +433,6 @@ def _moses_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 add("phrase_pack", lambda s, d: phrases.packed(_moses_table(s, d)).select("lw", F.col("n").cast("long").alias("n"), F.array_join("words", " ").alias("words")), "SELECT * FROM (VALUES ('a', 1::BIGINT, 'x'), ('b', 1, 'y z'), ('c', 1, ''), ('a b c', 3, 'w')) AS t(lw, n, words)")
 add("alignment_update", lambda s, d: phrases.alignment_update(s.createDataFrame([("a", ["x", "y"]), ("b", ["z"])], "lw string, words array<string>"), s.createDataFrame([("a", ["y", "w"]), ("c", ["q"])], "lw string, words array<string>")).select("lw", F.array_join("words", " ").alias("words")), "SELECT * FROM (VALUES ('a', 'x y w'), ('b', 'z'), ('c', 'q')) AS t(lw, words)")
 add("word_alignment", lambda s, d: aligner.word_table(turn_pairs(s, d), 2))
-add("word_links", lambda s, d: aligner.links(p := turn_pairs(s, d).select("pair_id", F.element_at(tokens(F.col("src")), 1).alias("src"), F.element_at(tokens(F.col("tgt")), 1).alias("tgt")), aligner.word_table(p, 2)), f"WITH {_PAIRS_SQL} SELECT pair_id, '0-0' AS links FROM pairs WHERE {_len('src')} > 0 AND {_len('tgt')} > 0")
-# The SQL of word_links and phrase_lexical_weights holds first tokens only; these work on whole turns and phrases.
 add("word_links_whole", lambda s, d: aligner.links(p := turn_pairs(s, d), aligner.word_table(p, 2)))
 add("phrase_lexical_weights_whole", lambda s, d: phrases.lexical_weights(aligner.phrase_candidates(p := turn_pairs(s, d)).select("src", "tgt"), p).select("src", "tgt", F.col("lexw")[0].alias("w1"), F.col("lexw")[1].alias("w2")))
 add("sampled_phrases", lambda s, d: aligner.sampled_phrases(turn_pairs(s, d), rounds=3))
