@@ -91,6 +91,29 @@ def test_topk(spark):
     assert dict(got) == want
     few = topk_ball.search(df.where("vec_id in (0, 1, 2)")).collect()
     assert len(few) == 2
+    odd = spark.createDataFrame([*rows[:120], *((2000 + i, [1e9, -1e7 * i]) for i in range(60))], "vec_id long, embedding array<double>").withColumns({"score": F.lit(1), "shard": F.lit("x"), "id": F.lit(None)})  # two lengths, huge components, columns that clash
+    got = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in topk_ball.search(odd, shard_rows=20, block_rows=2, scale=1).collect()}
+    for a in (2000, 2050):
+        want = sorted(((b, 10**18 + 10**14 * (a - 2000) * (b - 2000)) for b in range(2000, 2060) if b != a), key=lambda x: (-x[1], x[0]))[:5]
+        assert [got[a, i] for i in range(1, 6)] == want
+    assert all(j < 120 or j == 50 for (i, _), (j, _) in got.items() if i < 120)
+
+
+def test_topk_prunes_shards_before_the_shuffle(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    middle = rng.normal(size=(20, 6)) * 6
+    v = middle[rng.integers(0, 20, 4000)] + rng.normal(size=(4000, 6)) * 0.1
+    df = spark.createDataFrame([(i, [float(x) for x in e]) for i, e in enumerate(v)], "vec_id long, embedding array<double>")
+    asked, written = {}, topk_ball.materialise
+    monkeypatch.setattr(topk_ball, "materialise", lambda t, label, **o: asked.setdefault(label, written(t, label, **o)))
+    got = defaultdict(list)
+    for r in topk_ball.search(df, shard_rows=100, seeds=200).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["vec_id"], r["score"]))
+    q = np.floor(256 * v).astype(int)
+    for i in range(0, 4000, 50):
+        s = q @ q[i]
+        assert got[i] == sorted(((j, int(s[j])) for j in range(4000) if j != i), key=lambda x: (-x[1], x[0]))[:5]
+    assert asked["topk-asked"].count() < 80 * 40 / 4  # of 80 queries and at least 40 shards
 
 
 def test_packing(docs):
