@@ -26,7 +26,7 @@ def turns_of(log: DataFrame) -> DataFrame:
 
 def prefix_hashes(turns: DataFrame) -> DataFrame:
     """(conv_id, place, n, h1, h2): the rolling hashes of every turn prefix; n is the conversation's length."""
-    own = turns.select("conv_id", "turn", "role", "digest").repartition("conv_id").distinct()
+    own = turns.select("conv_id", "turn", "role", "digest").distinct()  # repeats go before anything moves by conversation
     w = Window.partitionBy("conv_id").orderBy("turn", "role", "digest")
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)

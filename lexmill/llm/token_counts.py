@@ -2,7 +2,7 @@
 
 Pre-tokens of a batch that were not met before are held as one ragged array of symbols. In every round each word's
 lowest-rank pair is found with one segmented minimum and all of its occurrences are merged at once, in all words
-together; the symbols that survive are the count. A cache of words (never of results, emptied when full) keeps repeated
+together; the symbols that survive are the count. A cache of each word's number of tokens (emptied when full) keeps repeated
 words out of the arrays.
 
 Cases: a null or empty text has no bytes and no tokens; null ids are counted like others; repeated rows are counted once

@@ -77,6 +77,36 @@ def test_quality(spark, docs):
     assert all(r["held_out"] == (r["doc_id"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in got)
 
 
+def test_statistics_and_splits_by_brute_force():
+    for t in ["Buy NOW!! $$ |x| 12 café. The the the, of of", "a\n\nb b\nb b\n", "ABC abc ABCd", "   ", "é" * 30, "x" * 200_000 + " end."]:
+        raw = t.encode()
+        ws, ls = raw.split(), [x for x in raw.split(b"\n") if x]
+        n, size, lens = len(ws) or 1, len(raw), [len(w) for w in ws] or [0]
+        share = lambda test: sum(map(test, raw)) / size
+        mean = sum(lens) / len(lens)
+        punct = set(range(33, 127)) - set(range(48, 58)) - set(range(65, 91)) - set(range(97, 123))
+        want = {
+            "log_bytes": math.log1p(size), "log_words": math.log1p(len(ws)), "word_len_mean": mean, "word_len_sd": math.sqrt(sum((x - mean) ** 2 for x in lens) / len(lens)), "short_words": sum(x <= 3 for x in lens) / n, "long_words": sum(x >= 12 for x in lens) / n,
+            "distinct_words": len(set(ws)) / n, "top_word": max(map(ws.count, ws), default=0) / n, "adjacent_repeats": sum(a == b for a, b in zip(ws, ws[1:])) / n, "distinct_pairs": len({(a, b) for a, b in zip(ws, ws[1:])}) / n,
+            "lower": share(lambda b: 97 <= b <= 122), "upper": share(lambda b: 65 <= b <= 90), "digits": share(lambda b: 48 <= b <= 57), "space": share(lambda b: b == 32 or 9 <= b <= 13), "punct": share(punct.__contains__), "bang": raw.count(b"!") / size, "pipe": raw.count(b"|") / size,
+            "marks": share(b"#$%&*^~".__contains__), "non_ascii": share(lambda b: b > 127), "log_lines": math.log1p(len(ls)), "distinct_lines": len(set(ls)) / (len(ls) or 1), "top_line": max((len(x) * ls.count(x) for x in ls), default=0) / size, "line_len": size / (len(ls) or 1), "stops": (raw.count(b",") + raw.count(b".")) / n,
+        }
+        got = dict(zip(quality_gbdt.STATS, quality_gbdt.statistics(t)))
+        assert {k: got[k] for k in want} == pytest.approx(want) and len(got) == len(want) + 2
+    rng = np.random.default_rng(4)
+    x = rng.integers(0, 9, size=(80, 3)).astype(np.float32)
+    y = ((x[:, 1] > 4) ^ (rng.random(80) < 0.2)).astype(float)
+    t = quality_gbdt.grow(x, y, rounds=1, depth=1, rate=1.0, ridge=2.0, least=4.0)
+    p = (y.sum() + 1) / 82
+    g, h = y - p, np.full(80, p * (1 - p))
+    gain = lambda m: g[m].sum() ** 2 / (h[m].sum() + 2)
+    best = max((gain(x[:, j] <= c) + gain(x[:, j] > c), j, c) for j in range(3) for c in range(8) if h[x[:, j] <= c].sum() > 4 and h[x[:, j] > c].sum() > 4)
+    root = t.roots[0]
+    assert (t.stat[root], t.cut[root]) == best[1:]
+    for side, m in ((t.left[root], x[:, best[1]] <= best[2]), (t.right[root], x[:, best[1]] > best[2])):
+        assert t.value[side] == pytest.approx(g[m].sum() / (h[m].sum() + 2))
+
+
 def test_topk(spark):
     rng = np.random.default_rng(2)
     v = rng.integers(-3, 4, size=(400, 8)) / 7
@@ -362,6 +392,69 @@ def test_language(spark):
     assert {model.names[j] for j in kept} == {"en", "de"} and share[model.names.index("en")] > share[model.names.index("de")]
 
 
+def test_mixture_by_brute_force():
+    rng = np.random.default_rng(6)
+    prob = rng.random((langid.SIZE, 3)) + 0.01
+    model = langid.Languages(["a", "b", "c"], prob / prob.sum(axis=0))
+    for text in ["the cat sat on the mat", "ein Haus, zwei Häuser", "x", "日本語 text 123"]:
+        count = {i: int(c) for i, c in enumerate(langid.grams(text)) if c}
+        n = sum(count.values())
+
+        def climb(share, keep):
+            s = {k: share[k] / sum(share[j] for j in keep) for k in keep}
+            for _ in range(8 if len(keep) > 1 else 0):
+                new = dict.fromkeys(keep, 0.0)
+                for i, c in count.items():
+                    mix = sum(s[k] * model.prob[i, k] for k in keep)
+                    for k in keep:
+                        new[k] += c * s[k] * model.prob[i, k] / mix / n
+                s = new
+            return s, sum(c * math.log(sum(s[k] * model.prob[i, k] for k in keep)) for i, c in count.items()) / n
+
+        keep = [0, 1, 2]
+        share, fit = climb(dict.fromkeys(keep, 1 / 3), keep)
+        while len(keep) > 1:
+            last = min(keep, key=lambda k: share[k])
+            rest = [k for k in keep if k != last]
+            trial, without = climb(share, rest)
+            if share[last] >= 0.02 and fit - without > 0.01:
+                break
+            keep, share, fit = rest, trial, without
+        got, kept = model.mixture(text)
+        assert kept.tolist() == keep and {k: got[k] for k in keep} == pytest.approx(share)
+
+
+def test_very_long_and_repeated_rows(spark):
+    from tokenizers import Tokenizer
+
+    rng = random.Random(2)
+    long = " ".join(f"w{rng.randrange(5000)}" for _ in range(1_000_000))
+    rows = [(1, long, "en", 1), (1, long, "en", 1), (2, "short text here for all of it", "en", 2), (5, "", None, None), (7, None, "de", 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, score long").repartition(2)  # ``score`` clashes
+    count = {r["doc_id"]: r for r in token_counts.count_tokens(docs).collect()}
+    want = len(Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")).encode(long, add_special_tokens=False).ids)
+    assert count[1]["n_tokens"] == want and count[1]["n_bytes"] == len(long) and count[7]["n_tokens"] == 0
+    pieces = [r for r in packing.pack(docs).drop("ids").collect() if r["doc_id"] == 1]
+    total = len(Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode(long, add_special_tokens=False).ids) + 1
+    assert sum(r["length"] for r in pieces) == 2 * total and {r["doc_tokens"] for r in pieces} == {total}
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in ngram_join.join(docs).collect())
+    w = long.split()
+    size = len(set(zip(w, w[1:], w[2:], w[3:], w[4:])))
+    assert got == [(1, size, 1), (1, size, 1), (2, 3, 2), (5, 0, 5), (7, 0, 7)]
+    scored = sorted((r["doc_id"], r["n_tokens"], r["score"]) for r in lm_interpolation.score(docs).collect())
+    assert [r[:2] for r in scored] == [(1, 1_000_001), (1, 1_000_001), (2, 8), (5, 1), (7, 1)] and all(r[2] < 0 for r in scored)
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 1)], "doc_id long, quality int, toxic int")
+    for out in (quality_gbdt.score(docs, quality_gbdt.fit(docs, labels)), toxicity.score(docs, toxicity.fit(docs, labels)), langid.identify(docs, langid.fit(docs))):
+        assert sorted(r["doc_id"] for r in out.collect()) == [1, 1, 2, 5, 7]
+
+
+def test_chat_cases(spark):
+    log = [(1, None, "user", "a"), (1, 1, "user", "b"), *[(2, 0, "user", "hot")] * 50, (2, 1, "assistant", "x" * 300_000), (3, 0, "user", "hot"), (4, 0, "user", ""), (5, 0, "user", None)]
+    df = spark.createDataFrame(log, "conv_id long, turn long, role string, text string").withColumns({"place": F.lit(1), "n_copies": F.lit("x")})
+    got = {r["conv_id"]: (r["n_turns"], r["n_copies"], len(r["text"])) for r in chat_collapse.render(df).collect()}
+    assert set(got) == {1, 2, 4} and got[2][:2] == (2, 1) and got[2][2] > 300_000 and got[1][0] == 2 and got[4][1] == 2  # a null text is an empty one
+
+
 def test_toxicity(spark):
     rng = random.Random(6)
     vocab = [f"n{i}" for i in range(50)]
