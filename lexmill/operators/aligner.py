@@ -72,8 +72,8 @@ def phrase_candidates(pairs: DataFrame, key: str = "pair_id", src: str = "src",
     of those lines the group's words, and the words left over, are a phrase pair if both sides are contiguous runs."""
     lines = pairs.select(F.col(key).alias("k"), F.explode(F.array(F.struct(F.lit(0).alias("side"), tokens(F.col(src)).alias("w")), F.struct(F.lit(1).alias("side"), tokens(F.col(tgt)).alias("w")))).alias("x"))
     words = lines.select("k", "x.side", F.posexplode("x.w").alias("at", "word"))
-    occurs = words.groupBy("side", "word").agg(F.sort_array(F.collect_set("k")).alias("_on"))
-    keyed = occurs.select("side", "word", F.xxhash64("_on").alias("g1"), F.hash("_on").alias("g2"))
+    # a set of lines is its sum of hashes: two of 64 bits, summed per task, so a word on very many lines stays small
+    keyed = words.select("side", "word", "k").distinct().groupBy("side", "word").agg(F.bit_xor(F.xxhash64(F.lit(1), "k")).alias("g1"), F.bit_xor(F.xxhash64(F.lit(2), "k")).alias("g2"))
     both = keyed.groupBy("g1", "g2").agg(F.count_distinct("side").alias("_s")).where("_s = 2").select("g1", "g2")
     groups = keyed.join(both, ["g1", "g2"])
     marked = words.join(groups, ["side", "word"])

@@ -69,7 +69,8 @@ def judged(table: DataFrame, rules: list[str] | None = None, **thresholds: float
     """Adds ``reason``: the first rule that drops the row, null for rows that stay. An empty phrase is dropped. When both
     sides occur several times the target's rule decides."""
     th = THRESHOLDS | thresholds
-    sized = table.withColumn("src_rows", F.count("*").over(Window.partitionBy("src"))).withColumn("tgt_rows", F.count("*").over(Window.partitionBy("tgt")))
+    rows = lambda side: table.groupBy(F.col(side).alias(f"_{side}")).agg(F.count("*").alias(f"{side}_rows"))  # noqa: E731  a phrase of very many rows is one row here
+    sized = table.join(rows("src"), F.col("src").eqNullSafe(F.col("_src"))).join(rows("tgt"), F.col("tgt").eqNullSafe(F.col("_tgt"))).drop("_src", "_tgt")
     reason = F.coalesce(*(F.when(cond, F.lit(name)) for name, cond in reasons(th) if rules is None or name in rules or name == "empty"))
     return sized.withColumn("reason", reason).drop("src_rows", "tgt_rows")
 

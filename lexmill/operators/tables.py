@@ -244,6 +244,19 @@ def _last(table: DataFrame) -> DataFrame:
     return table.groupBy("lw", "rw").agg(F.max_by("logp", "line_no").alias("logp"))
 
 
+def file_paragraphs(lines: DataFrame, position: str = "line_no", value: str = "value", part: int = 100_000) -> DataFrame:
+    """The paragraphs of one long file: position (dense, from 0) and value. Blank lines are counted inside parts of the
+    positions, one row a part gives the counts before it, and only a paragraph's own lines meet in one task."""
+    blank = F.trim(F.coalesce(value, F.lit(""))) == ""
+    own = lines.select(position, value, blank.alias("_blank"), F.floor(F.col(position) / part).alias("_part"))
+    counts = own.groupBy("_part").agg(F.sum(F.col("_blank").cast("long")).alias("_n"))
+    before = counts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))  # one row for so many lines
+    running = F.sum(F.col("_blank").cast("long")).over(Window.partitionBy("_part").orderBy(position).rowsBetween(Window.unboundedPreceding, 0))
+    text = own.withColumn("_in", running).join(F.broadcast(before), "_part").where("not _blank").groupBy((F.col("_in") + F.col("_before")).alias("_island"))
+    joined = text.agg(F.sort_array(F.collect_list(F.struct(position, F.col(value).alias("v")))).alias("_l")).select("_island", F.array_join(F.transform("_l", lambda e: e["v"]), " ").alias(value))
+    return numbered(joined, [(F.col("_island"), False)], position, start=0).select(position, value)
+
+
 # --- documents of lines -----------------------------------------------------------------------------------------------
 
 

@@ -388,8 +388,7 @@ def _bleu(ctx, inputs, reference=None):
 
 @file_rule("Tidy_Translated_Result")
 def _tidy(ctx, inputs):
-    p = tables.paragraphs(inputs[0].withColumn("doc_id", F.lit(0)))
-    return [p.select(F.col("paragraph").alias("line_no"), "value")]
+    return [tables.file_paragraphs(settled(inputs[0]))]
 
 
 @file_rule("Segment_EN_Doc_To_Sentences", "Segment_EN_lines_To_Sentences")

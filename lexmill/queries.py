@@ -435,7 +435,9 @@ add("alignment_update", lambda s, d: phrases.alignment_update(s.createDataFrame(
 add("word_alignment", lambda s, d: aligner.word_table(turn_pairs(s, d), 2))
 add("word_links_whole", lambda s, d: aligner.links(p := turn_pairs(s, d), aligner.word_table(p, 2)))
 add("phrase_lexical_weights_whole", lambda s, d: phrases.lexical_weights(aligner.phrase_candidates(p := turn_pairs(s, d)).select("src", "tgt"), p).select("src", "tgt", F.col("lexw")[0].alias("w1"), F.col("lexw")[1].alias("w2")))
-add("sampled_phrases", lambda s, d: aligner.sampled_phrases(turn_pairs(s, d), rounds=3))
+add("sampled_phrases", lambda s, d: aligner.sampled_phrases(turn_pairs(s, d), rounds=12, longest=1000))  # small sub-corpora give whole turns
+add("file_paragraphs", lambda s, d: tables.file_paragraphs(turn_pairs(s, d).select(F.col("pair_id").alias("line_no"), F.when(F.length("src") % 3 > 0, F.col("src")).otherwise(F.lit(" ")).alias("value")), part=5000),
+    f"WITH {_PAIRS_SQL}, l AS (SELECT pair_id, CASE WHEN length(src) % 3 > 0 THEN src ELSE ' ' END AS v FROM pairs), i AS (SELECT *, sum((trim(v) = '')::INT) OVER (ORDER BY pair_id) AS g FROM l) SELECT dense_rank() OVER (ORDER BY g) - 1 AS line_no, string_agg(v, ' ' ORDER BY pair_id) AS value FROM i WHERE trim(v) <> '' GROUP BY g")
 
 # --- alignment, case --------------------------------------------------------------------------------------------------
 
