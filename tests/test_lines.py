@@ -62,8 +62,27 @@ def test_golden(spark, language, name, params, line, expected):
 
 def test_null_and_empty_are_dropped(spark):
     df = spark.createDataFrame([(None,), ("",)], "v string")
-    for key in [("common", "Norm_Ellipsis"), ("en", "Remove_Bullet"), ("zh", "Remove_Space"), ("en", "Slot_Tag_Number"), ("common", "General_Tokenizer"), ("en", "Capitalize"), ("common", "Pair_Punctuation_Close_Check")]:
-        assert [r[0] for r in df.select(lines.get(*key)(F.col("v"))).collect()] == [None, None], key
+    needed = {"Replace_Content": {"pattern": "a", "repl": "b"}, "BD_Break_Line": {"voc": ["a"]}, "Replace_Words_Per_Dict": {"words": ["A"]}, "Find_Word_Entity": {"table": {"ab": "c"}}, "BPE_Apply_Line": {"codes": []}, "BPE_Apply": {"codes": []}}
+    keys = sorted(lines.REGISTRY)
+    assert len(keys) > 90
+    for i in range(0, len(keys), 20):
+        part = keys[i : i + 20]
+        rows = df.select(*(lines.get(*key, **needed.get(key[1], {}))(F.col("v")).alias("_".join(key)) for key in part)).collect()
+        assert [[k for k, x in r.asDict().items() if x is not None] for r in rows] == [[], []]
+
+
+def test_vectorised_rules_stand_above_all_others(spark):
+    """Spark must find a vectorised function above every line rule: each is followed by the detokenizer here."""
+    df = spark.createDataFrame([("see 1,234 people's &lt; N &gt; 中文 a-b http://x/y (ok).",)], "v string")
+    needed = {"Replace_Content": {"pattern": "a", "repl": "b"}, "BD_Break_Line": {"voc": ["a"]}, "Replace_Words_Per_Dict": {"words": ["A"]}, "Find_Word_Entity": {"table": {"ab": "c"}}, "BPE_Apply_Line": {"codes": []}, "BPE_Apply": {"codes": []}, "Restore_Entity": {"entity_tag": "N"}}
+    last = lines.get("common", "General_Sentence_Detokenizer")
+    failed = []
+    for key in sorted(lines.REGISTRY):
+        try:
+            df.select(lines.chain([lines.get(*key, **needed.get(key[1], {})), last])(F.col("v"))).collect()
+        except Exception as e:
+            failed.append((key, str(e)[:80]))
+    assert not failed
 
 
 def test_idempotent(spark):
@@ -81,7 +100,8 @@ def test_long_chains_stay_linear(spark):
 def test_align_and_case():
     assert alignment.align(["ne@@", "w", "york", "<->", "x"], ["Ne@@", "w", "York", "'s", "city"], [0, 1, 2, 3, 5], True) == (["new", "york-", "x"], ["New", "York's", "city"], [0, 1, 3])
     assert alignment.align([], ["a"], [0], True) is None
-    assert alignment.restore_case("the ips of nato", "IPs of NATO in The", True) == "The IPs of NATO".replace("IPs", "ips") or True
+    assert alignment.restore_case("the ips of nato", "IPs of NATO in The", True) == "The IPs of NATO"
+    assert alignment.restore_case("the ip of x", "IPs of nox in The", True) == "The IP of x"  # a plural may follow; inside a longer word nothing is found
     assert alignment.restore_case("ip x", "IPs X", True) == "IP X"
     assert alignment.restore_case("ip x", "IPs X", False) == "ip X"
 
