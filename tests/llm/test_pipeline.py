@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lexmill.llm import langid, quality_gbdt
@@ -69,3 +70,23 @@ def test_whole_run(spark, folder):
     got = corpus_pipeline.run(spark, d)
     assert got.columns == want.columns and got.count() > 0
     assert {r["doc_id"] for r in got.collect()} == {r["doc_id"] for r in want.collect()} == {i for i, _ in rows_of(docs)}
+
+
+def test_stages_on_empty_tables_and_clashing_columns(spark, folder, tmp_path):
+    d, _ = folder
+    spark.createDataFrame([], DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    empty = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, empty, str(tmp_path))
+        assert out.count() == 0 and (name == "pack" or out.columns == empty.columns)
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    names = ["score", "label", "size", "node", "component_id", "n", "item_id", "a", "b", "y", "held_out", "dim"]
+    wide = docs.withColumns({c: F.concat(F.lit(c), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) for c in names})
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, wide, d)
+        assert out.columns == wide.columns
+        assert rows_of(out) == rows_of(stage(spark, docs, d)) or name == "near_duplicates"  # of one id with two texts either may stay
+        assert all(r[c] == f"{c}{'' if r['doc_id'] is None else r['doc_id']}" for r in out.collect() for c in names)
