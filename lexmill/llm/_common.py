@@ -43,6 +43,12 @@ def materialise(df: DataFrame, label: str, **options: str) -> DataFrame:
     return out
 
 
+def few(df: DataFrame, rows: int, a_task: int = 50_000) -> DataFrame:
+    """``df``, of at most about ``rows`` short rows, in a task and file for each ``a_task`` of them, or one a core, however
+    many shuffle partitions the session has."""
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // a_task)))
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete tables that ``materialise`` has written, once no plan reads them any more; others are left alone."""
     for t in tables:

@@ -16,7 +16,8 @@ A document is its set of word shingles, a node is a distinct set (equal sets are
    list's largest group only meets the rest, and block-skip leaves few of those pairs. For a pair (a, b) across groups, b
    is verified against a's partner p, and from |p & b|, |a & p| and the sizes both bounds of |a & b| follow; only pairs
    that the bounds leave open are verified.
-6. Components of all links.
+6. Components of all links. Tables of ids are written by a task for each 50 000 rows, or one a core, and not by one a
+   shuffle partition: a session with many partitions would else write thousands of files of a few rows.
 
 Cases: without a word a document has size 0 and is its own component; with fewer words than a shingle the whole sequence
 is one shingle; null ids get a size and a null component; repeated rows are returned once each; an empty table gives no
@@ -35,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.llm._common import blobs, discard, materialise, slices, texts, words_of
+from lexmill.llm._common import blobs, discard, few, materialise, slices, texts, words_of
 from lexmill.llm.components import components
 
 _ODD = np.array([(i * 2 + 3) * 0x9E3779B97F4A7C15 % (1 << 64) | 1 for i in range(64)], np.uint64)
@@ -520,6 +521,9 @@ def join(docs: DataFrame, *, k: int = 5, percent: int = 75, sample: int = 20_000
     filt, bits = wanted_filter(cands)
     table = materialise(nodes(docs, k, spark.sparkContext.broadcast(filt), bits), "ngram-nodes")
     ordered = lambda df: df.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    kinds = {r["kind"]: r["count"] for r in cands.groupBy("kind").count().collect()}
+    rows = total["n"] + sum(kinds.values())  # about what the largest table below has
+    keep = lambda df, label: materialise(few(df, rows), label)
 
     def labelled(df: DataFrame, col: str, name: str) -> DataFrame:
         return df.join(labels.toDF(col, name), col, "left").withColumn(name, F.coalesce(name, col))
@@ -529,48 +533,48 @@ def join(docs: DataFrame, *, k: int = 5, percent: int = 75, sample: int = 20_000
     heads = cands.where("kind = 3").select("x", "y", "at")
     heads = heads.join(heads.groupBy("x").agg(F.min_by("y", F.struct("at", "y")).alias("a")), "x").where("a <> y").select("a", F.col("y").alias("b"))
     pairs = cands.where("kind in (0, 2)").select(F.col("x").alias("a"), F.col("y").alias("b"))
-    pairs = materialise(bounded_pairs(ordered(pairs).distinct(), table, percent), "ngram-pairs")
-    star = materialise(led.unionByName(heads).unionByName(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")).distinct(), "ngram-star")
-    found = materialise(links_of(overlaps(star, table), percent), "ngram-found")
+    pairs = keep(bounded_pairs(ordered(pairs).distinct(), table, percent), "ngram-pairs")
+    star = keep(led.unionByName(heads).unionByName(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")).distinct(), "ngram-star")
+    found = keep(links_of(overlaps(star, table), percent), "ngram-found")
     partner = found.groupBy(F.col("b").alias("a")).agg(F.min_by(F.struct(F.col("a").alias("p"), F.col("both").alias("a_and_p"), F.col("size_b").alias("size_of_a"), F.col("size_a").alias("size_of_p")), "a").alias("s")).select("a", "s.*")
-    links, tried, spent = found.select("a", "b"), materialise(ordered(star).distinct(), "ngram-tried"), [cands, pairs, star, found]
+    links, tried, spent = found.select("a", "b"), ordered(star), [cands, pairs, star, found]
     for turn in range(rounds):  # then against candidates of other groups, while that joins groups
-        labels = materialise(components(links.select(F.col("a").alias("u"), F.col("b").alias("v")), in_one_task=in_one_task), "ngram-labels")
+        labels = keep(components(links.select(F.col("a").alias("u"), F.col("b").alias("v")), in_one_task=in_one_task, rows=rows), "ngram-labels")
         across = labelled(labelled(pairs, "a", "label_a"), "b", "label_b").where("label_a <> label_b").select("a", "b").join(tried, ["a", "b"], "left_anti")
         spent.append(labels)
         if turn == rounds - 1:
             break
         more = across.groupBy("b").agg(F.min("a").alias("a"), F.max("a").alias("z"))
-        more = materialise(more.select("a", "b").unionByName(more.select(F.col("z").alias("a"), "b")).distinct(), "ngram-more")
-        found = materialise(links_of(overlaps(more, table), percent), "ngram-found")
-        spent += [more, found, links, tried]
+        more = keep(more.select("a", "b").unionByName(more.select(F.col("z").alias("a"), "b")).distinct(), "ngram-more")
+        found = keep(links_of(overlaps(more, table), percent), "ngram-found")
+        spent += [more, found]
+        tried = tried.unionByName(more)
         if not found.limit(1).count():
-            tried = tried.unionByName(more)
             break
-        tried = materialise(tried.unionByName(more), "ngram-tried")
-        links = materialise(links.unionByName(found.select("a", "b")), "ngram-links")
+        links = links.unionByName(found.select("a", "b"))
 
     # pairs of groups that long lists still hold
     entries = cands.where("kind = 1").select(F.col("x").alias("sh"), F.col("y").alias("b"), "size", "at", "first", "own")
-    again = ordered(pairs_across(labelled(entries, "b", "label"), percent, part_rows, entries.count()))
-    across = materialise(across.unionByName(bounded_pairs(again, table, percent)).distinct().join(tried, ["a", "b"], "left_anti"), "ngram-across")
+    again = ordered(pairs_across(labelled(entries, "b", "label"), percent, part_rows, kinds.get(1, 0)))
+    across = keep(across.unionByName(bounded_pairs(again, table, percent)).distinct().join(tried, ["a", "b"], "left_anti"), "ngram-across")
 
     # answers of a set from those of its partner: b against a's partner p decides most pairs (a, b)
     led = across.join(partner, "a", "left")
-    asked = materialise(overlaps(led.where("p is not null and p <> b").select(F.col("p").alias("a"), "b").distinct(), table), "ngram-asked")
+    asked = keep(overlaps(led.where("p is not null and p <> b").select(F.col("p").alias("a"), "b").distinct(), table), "ngram-asked")
     known = led.join(asked.select(F.col("a").alias("p"), "b", F.col("both").alias("p_and_b"), F.col("size_b").alias("size_of_b")), ["p", "b"], "left")
     most = F.col("p_and_b") + F.col("size_of_a") - F.col("a_and_p")
     fewest = F.col("p_and_b") - (F.col("size_of_p") - F.col("a_and_p"))
     need = F.ceil(F.lit(percent) * (F.col("size_of_a") + F.col("size_of_b")) / F.lit(100 + percent))
     state = F.when(F.col("p_and_b").isNull(), 0).when(most < need, -1).when(fewest >= need, 1).otherwise(0)
-    known = materialise(known.select("a", "b", state.alias("state")), "ngram-derived")
+    known = keep(known.select("a", "b", state.alias("state")), "ngram-derived")
     verified = links_of(overlaps(known.where("state = 0").select("a", "b").distinct(), table), percent)
     edges = links.unionByName(links_of(asked, percent).select("a", "b")).unionByName(known.where("state = 1").select("a", "b")).unionByName(verified.select("a", "b"))
-    groups = materialise(components(edges.select(F.col("a").alias("u"), F.col("b").alias("v")), in_one_task=in_one_task), "ngram-groups")
-    discard(*spent, links, across, asked, known)
+    groups = keep(components(edges.select(F.col("a").alias("u"), F.col("b").alias("v")), in_one_task=in_one_task, rows=rows), "ngram-groups")
+    discard(*spent, across, asked, known)
 
     members = table.select("doc_id", "size", "node").join(groups, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    least_id = materialise(members.where(F.col("label").isNotNull()).groupBy("label").agg(F.min("doc_id").alias("component_id")), "ngram-least")  # a table of its own: the join can split a large component
-    return members.join(least_id, "label", "left").select(
+    least_id = keep(members.where(F.col("label").isNotNull()).groupBy("label").agg(F.min("doc_id").alias("component_id")), "ngram-least")  # a table of its own: the join can split a large component
+    out = members.join(least_id, "label", "left").select(
         "doc_id", F.col("size").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")
     )
+    return few(out, total["n"])

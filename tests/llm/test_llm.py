@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexmill.llm import chat_collapse, components, decontamination, langid, lm_interpolation, ngram_join, packing, quality_gbdt, token_counts, topk_ball, toxicity
-from lexmill.llm._common import LOWER
+from lexmill.llm._common import LOWER, materialise
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score string"
@@ -265,6 +265,31 @@ def test_pairs_grow_with_the_rows(spark):
     assert large <= 5 * small and large < 12 * 4000 and dealt <= entries
 
 
+def test_small_tables_take_few_files(spark, monkeypatch):
+    files = {}
+
+    def counted(df, label, **options):
+        out = materialise(df, label, **options)
+        files[label] = max(files.get(label, 0), len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(ngram_join, "materialise", counted)
+    monkeypatch.setattr(components, "materialise", counted)
+    rows, many = near_copies(150), {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in many}
+    try:
+        for k, v in many.items():
+            spark.conf.set(k, v)
+        out = ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), least=3, all_pairs=8)
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in out.collect()}
+        parts = out.rdd.getNumPartitions()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == brute_links(rows)
+    assert len(files) > 8 and max(files.values()) <= 6 and parts <= 4, files  # six buckets, four cores
+
+
 def test_block_skip():
     rng = np.random.default_rng(3)
     n = 400
