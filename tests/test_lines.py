@@ -113,3 +113,10 @@ def test_bpe_learn_and_apply():
     for w in ("low", "newest", "unseen"):
         assert enc.line(w).replace("@@ ", "") == w
     assert subword.merged(list("aaaa"), ("a", "a")) == ["aa", "aa"]
+
+
+def test_case_is_of_single_characters(spark):
+    df = spark.createDataFrame([("ßa",), ("ŉa",), ("ᾳa",), ("éa",)], "v string")
+    assert [r[0] for r in df.select(lines.get("en", "Capitalize")(F.col("v"))).collect()] == ["ẞa", "ŉa", "ᾼa", "Éa"]
+    low = spark.createDataFrame([("ÀİΟΔΟΣ",)], "v string").select(lines.get("common", "To_Lower")(F.col("v"))).first()[0]
+    assert low == "àiοδοσ"
