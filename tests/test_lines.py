@@ -120,3 +120,16 @@ def test_case_is_of_single_characters(spark):
     assert [r[0] for r in df.select(lines.get("en", "Capitalize")(F.col("v"))).collect()] == ["ẞa", "ŉa", "ᾼa", "Éa"]
     low = spark.createDataFrame([("ÀİΟΔΟΣ",)], "v string").select(lines.get("common", "To_Lower")(F.col("v"))).first()[0]
     assert low == "àiοδοσ"
+
+
+def test_white_space_and_allowed_classes_hold_for_every_character(spark):
+    from lexmill.functions import chars
+    from lexmill.functions.regex import strip, tokens
+
+    points = [c for c in range(1, 0x3400) if c < 0xD800] + [0xFF00, 0xFFE0, 0xFFFF, 0x1F600, 0x20000]
+    df = spark.createDataFrame([(c, f"a{chr(c)}b{chr(c)}") for c in points], "c int, v string")
+    v, s = F.col("v"), f"[{chars.STRIPPED}]+"
+    bad = f"[^{chars.ALLOWED.replace('[', chr(92) + '[')}]| "
+    same = (strip(v) == F.regexp_replace(v, f"^{s}|{s}$", "")) & (tokens(v) == F.filter(F.split(v, s), lambda w: w != "")) & (lines.is_allowed(v) == ~F.regexp_replace(v, f"^{s}|{s}$", "").rlike(bad))
+    assert df.where(~same).count() == 0
+    assert "regexp_replace" not in df.select(strip(v))._jdf.queryExecution().optimizedPlan().toString()

@@ -176,3 +176,9 @@ def test_abbreviations_of_the_language(spark, lang, line, want):
 
 def test_all_abbreviation_lists():
     assert set(tokenizer.NONBREAKING) == set("ca cs de el en es fi fr hu is it lv nl pl pt ro ru sk sl sv ta".split())
+
+
+def test_line_queries_evaluate_their_operator_once(spark, folder):
+    for name, node in (("detokenize_en", "ArrowEvalPython"), ("tokenize_en", "&apos;")):
+        plan = queries.QUERIES[name](spark, folder)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count(node) == 1, name
