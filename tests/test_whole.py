@@ -182,3 +182,39 @@ def test_line_queries_evaluate_their_operator_once(spark, folder):
     for name, node in (("detokenize_en", "ArrowEvalPython"), ("tokenize_en", "&apos;")):
         plan = queries.QUERIES[name](spark, folder)._jdf.queryExecution().executedPlan().toString()
         assert plan.count(node) == 1, name
+
+
+def test_blocks_look_at_few_products_at_once(pairs, monkeypatch):
+    import pyarrow as pa
+
+    from lexmill.operators import aligner, blocks
+
+    own = [(k, a.split(), b.split()) for k, (a, b) in pairs.items() if a and b]
+    lists, n = pa.list_(pa.string()), len(own)
+    cols = {"b": pa.array([0] * n), "r": pa.array([0] * n, pa.int32()), "k": pa.array([k for k, _, _ in own]), "s": pa.array([a for _, a, _ in own], lists), "m": pa.array([len(b) for _, _, b in own]),
+            "j": pa.array([list(range(len(b))) for _, _, b in own]), "w": pa.array([b for _, _, b in own], lists), "v": pa.array([None] * n, pa.list_(pa.float64()))}
+    batch = pa.RecordBatch.from_pydict(cols)
+    want = expectation(pairs, 2)
+
+    def counted(known, more):
+        block, model = blocks.Block([batch]), aligner.Model(4.0, 0.08, 1e-7, known)
+        for no, t in enumerate(more, 1):
+            block.more[no] = [([block.words[w] for w in t], None, None, list(t.values()))]
+        return block, model
+
+    for at_once in (10, 100_000):  # a word's products in many slices, and all words together
+        monkeypatch.setattr(blocks, "AT_ONCE", at_once)
+        totals = []
+        for known in (0, 1):
+            block, model = counted(known, totals)
+            totals.append({r["lw"]: r["v"] for x in model.totals(block) for r in x.to_pylist()})
+        block, model = counted(2, totals)
+        assert all(sum(c.stop - c.start for c in cuts) and all(block.n[block.who[c]].sum() + c.stop - c.start <= at_once or c.stop - c.start == 1 for c in cuts) for cuts in block.groups())
+        got = {(r["lw"], r["rw"]): r["p"] for x in model.table(block) for r in x.to_pylist()}
+        assert got.keys() == want.keys() and all(math.isclose(got[k], want[k], rel_tol=1e-9) for k in want)
+
+
+def test_no_row_for_each_two_words_of_a_pair(spark, folder):
+    for name in ("word_alignment", "word_links_whole", "phrase_lexical_weights_whole"):
+        plan = queries.QUERIES[name](spark, folder)._jdf.queryExecution().optimizedPlan().toString()
+        assert "MapInArrow" in plan and "<eps>" not in plan, name
