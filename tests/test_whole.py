@@ -218,3 +218,30 @@ def test_no_row_for_each_two_words_of_a_pair(spark, folder):
     for name in ("word_alignment", "word_links_whole", "phrase_lexical_weights_whole"):
         plan = queries.QUERIES[name](spark, folder)._jdf.queryExecution().optimizedPlan().toString()
         assert "MapInArrow" in plan and "<eps>" not in plan, name
+
+
+def test_merges_of_many_words_are_learned_at_once(spark, monkeypatch):
+    def rounds(*_):
+        raise AssertionError("learned in rounds")
+
+    monkeypatch.setattr(subword, "learn_in_rounds", rounds)
+    lines = spark.range(1_000_001).select(F.concat_ws(" ", F.lower(F.hex("id")), F.lit("aaaaa aaaaa")).alias("value"))
+    assert subword.learn(lines, 3)[:2] == [("a", "a"), ("aa", "a</w>")]
+
+
+def test_merges_against_counting_every_word_anew():
+    rng = random.Random(3)
+    for _ in range(60):
+        counts = {"".join(rng.choices("aab", k=rng.randint(1, 9))): rng.randint(1, 5) for _ in range(20)}
+        words, want = {w: [*w[:-1], w[-1] + "</w>"] for w in counts}, []
+        for _ in range(30):
+            n = Counter()
+            for w, s in words.items():
+                for p in zip(s, s[1:]):
+                    n[p] += counts[w]
+            best = min(n, key=lambda p: (-n[p], p), default=None)
+            if best is None or n[best] < 2:
+                break
+            want.append(best)
+            words = {w: subword.merged(s, best) for w, s in words.items()}
+        assert subword.learn_from(counts, 30) == want
