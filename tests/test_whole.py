@@ -245,3 +245,18 @@ def test_merges_against_counting_every_word_anew():
             want.append(best)
             words = {w: subword.merged(s, best) for w, s in words.items()}
         assert subword.learn_from(counts, 30) == want
+
+
+@pytest.mark.parametrize("most", [0xB000, 3])
+def test_word_distance_by_characters_and_by_rows(spark, monkeypatch, most):
+    from lexmill.operators import scoring
+
+    monkeypatch.setattr(scoring, "_CODES", most)
+    rows = [("a b c", "a c b a"), ("", "x y"), ("été né", "né été né"), ("a", "a"), ("p q r s t", "q r")]
+    df = spark.createDataFrame(rows, "a string, b string").select("a", "b", scoring.edit_distance(F.col("a"), F.col("b"), "word").alias("n"))
+    assert all(r["n"] == distance(r["a"].split(), r["b"].split()) for r in df.collect())
+    assert "levenshtein" in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_chrf_counts_rows_without_sorting(spark, folder):
+    assert "sort_array" not in queries.QUERIES["chrf"](spark, folder)._jdf.queryExecution().optimizedPlan().toString()
